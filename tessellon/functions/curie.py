@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as white space (Unicode White_Space and the four separators U+001C to U+001F).
-WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The same as the body of a Java regular-expression class.
-WS_CLASS = r"\t\n\x0b\x0c\r\x1c-\x20\x85\xa0  -     　"
+WS_CLASS = r"\t\n\x0b\x0c\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def col(c: Column | str) -> Column:
