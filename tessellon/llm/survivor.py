@@ -78,19 +78,18 @@ def _vote(claims: DataFrame, acc: DataFrame, discount: DataFrame | None, n: floa
 def _dependence(claims: DataFrame, truth: DataFrame, acc: DataFrame, n: float, prior: float, rate: float) -> DataFrame:
     """source, leader, independent: the chance that ``source`` did not copy a value from ``leader``.
 
-    For each pair of sources: items on which both hold the same true value, the same false value, or
-    different values. Sharing false values is what speaks for copying.
+    For each pair of sources: how many values both hold are true, how many false (by their posterior), and
+    on how many items they differ. Sharing false values is what speaks for copying.
     """
-    best = truth.groupBy("item").agg(F.min_by("value", F.struct((-F.col("posterior")).alias("p"), "value")).alias("true_value"))
-    # one row per item and source; the sources of one item are collected as (source, value), as many as there are sources
-    held = claims.groupBy("item").agg(F.collect_set(F.struct("source", "value")).alias("held")).join(best, "item")
+    # each source claims one value of an item: as many (source, value) per item as there are sources
+    likely = claims.join(truth.select("item", "value", "posterior"), ["item", "value"])
+    held = likely.groupBy("item").agg(F.collect_set(F.struct("source", "value", "posterior")).alias("held"))
     pairs = F.flatten(
-        F.transform("held", lambda x: F.transform(F.filter("held", lambda y: y["source"] > x["source"]), lambda y: F.struct(x["source"].alias("s1"), y["source"].alias("s2"), F.when(x["value"] != y["value"], "differ").otherwise(x["value"]).alias("v"), (x["value"] == y["value"]).alias("same"))))
+        F.transform("held", lambda x: F.transform(F.filter("held", lambda y: y["source"] > x["source"]), lambda y: F.struct(x["source"].alias("s1"), y["source"].alias("s2"), F.when(x["value"] == y["value"], x["posterior"]).alias("p"))))
     )
-    counts = held.select("true_value", F.explode(pairs).alias("p")).groupBy("p.s1", "p.s2").agg(
-        F.sum(F.when(F.col("p.same") & (F.col("p.v") == F.col("true_value")), 1).otherwise(0)).alias("both_true"),
-        F.sum(F.when(F.col("p.same") & (F.col("p.v") != F.col("true_value")), 1).otherwise(0)).alias("both_false"),
-        F.sum(F.when(F.col("p.same"), 0).otherwise(1)).alias("differ"),
+    same, p = F.col("p.p").isNotNull(), F.col("p.p")
+    counts = held.select(F.explode(pairs).alias("p")).groupBy("p.s1", "p.s2").agg(
+        F.sum(F.when(same, p).otherwise(0.0)).alias("both_true"), F.sum(F.when(same, 1 - p).otherwise(0.0)).alias("both_false"), F.sum(F.when(same, 0).otherwise(1)).alias("differ")
     )
     a1, a2 = acc.select(F.col("source").alias("s1"), F.col("accuracy").alias("a1")), acc.select(F.col("source").alias("s2"), F.col("accuracy").alias("a2"))
     c = counts.join(F.broadcast(a1), "s1").join(F.broadcast(a2), "s2")
