@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tessellon.functions.curie import prefix, suffix
 from tessellon.operators.cliques import overused_xrefs
@@ -218,7 +219,7 @@ def mapped_pairs(rows: DataFrame, namespaces: dict[str, str], own: str) -> DataF
     return rows.where(F.col("namespace").isin(*namespaces)).select(F.concat(F.lit(f"{own}:"), "id").alias("subject"), F.lit("xref").alias("predicate"), F.concat(spelled, F.lit(":"), "value").alias("object"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def plain_html(s: pd.Series) -> pd.Series:
     """Text without tags and with entities resolved."""
     return s.map(lambda x: None if x is None else html.unescape(re.sub(r"<[^<>]+>", "", x)))
@@ -387,7 +388,7 @@ RESIDUES = {
 }
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def one_letter_sequence(s: pd.Series) -> pd.Series:
     """``Ala Arg-Gly`` to ``ARG``; null where a residue is unknown."""
 
