@@ -77,15 +77,54 @@ def _kind(v: Column) -> Column:
     return F.when(s.startswith("ARRAY"), "ARRAY").when(s.startswith("OBJECT"), "OBJECT").otherwise(s)
 
 
-def as_list(v: Column, json_text: bool = False) -> Column:
+def as_list(v: Column) -> Column:
     """The elements of a variant as an array of variants. A single value or object stands for an array of
-    one; null and a missing field give null. With ``json_text`` a string is parsed first; text that is
-    not JSON stays a single string."""
-    if json_text:
-        inner = F.try_parse_json(F.try_variant_get(v, "$", "string"))
-        v = F.when((F.schema_of_variant(v) == "STRING") & inner.isNotNull(), inner).otherwise(v)
+    one; null and a missing field give null."""
     kind = F.schema_of_variant(v)
-    return F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when((kind != "VOID"), F.array(v))
+    return F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(kind != "VOID", F.array(v))
+
+
+def opened(v: Column) -> Column:
+    """A string as the JSON it holds; text that is not JSON, and all other values, stay as they are."""
+    return F.when(F.schema_of_variant(v) == "STRING", F.coalesce(F.try_parse_json(F.try_variant_get(v, "$", "string")), v)).otherwise(v)
+
+
+_ROW = "struct<element: string, parent_kind: string, parent_pos: int, pos: int, kind: string, v: variant, open: boolean>"
+
+
+def _row_of(e: Edge, element: str):
+    def row(v: Column, i: Column) -> Column:
+        return F.struct(
+            F.lit(e.child).alias("element"), F.lit(element).alias("parent_kind"), F.col("x.pos").alias("parent_pos"), i.alias("pos"), F.lit(e.kind or e.child).alias("kind"), v.alias("v"), F.lit(True).alias("open")
+        )
+
+    return row
+
+
+def shred_rows(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> DataFrame:
+    """_key and x (element, parent_kind, parent_pos, pos, kind, v): the rows of all tables, records included, in one pass.
+
+    Each record is parsed once; a level of the graph unfolds the rows of the level before beside themselves.
+    """
+    record = F.struct(F.lit(graph.root).alias("element"), F.lit(None).cast("string").alias("parent_kind"), F.lit(-1).alias("parent_pos"), F.lit(-1).alias("pos"), F.lit(graph.root).alias("kind"), F.try_parse_json(json).alias("v"), F.lit(True).alias("open"))
+    rows = df.select(F.col(key).alias("_key"), record.alias("x")).where("x.v IS NOT NULL")
+    holders = {x for x in graph.tables() if _held(graph, x)}
+    at = {graph.root}
+    for _ in range(16):
+        held = [(element, e) for element in sorted(at & holders) for e in _held(graph, element)]
+        if not held:
+            break
+        # one projection a step, so that no variant is taken apart twice
+        mine = lambda element: F.col("x.open") & (F.col("x.element") == element)
+        names = [f"_e{i}" for i in range(len(held))]
+        rows = rows.select("_key", "x", *[F.when(mine(element), F.try_variant_get("x.v", f"$.{e.name}", "variant")).alias(n) for n, (element, e) in zip(names, held)])
+        rows = rows.select("_key", "x", *[(opened(F.col(n)) if e.json_text else F.col(n)).alias(n) for n, (_, e) in zip(names, held)])
+        rows = rows.select("_key", "x", *[as_list(F.col(n)).alias(n) for n in names])
+        lists = [F.coalesce(F.filter(F.transform(n, _row_of(e, element)), lambda r: F.schema_of_variant(r["v"]) != "VOID"), F.array().cast(f"array<{_ROW}>")) for n, (element, e) in zip(names, held)]
+        itself = F.array(F.col("x").withField("open", F.lit(False)).cast(_ROW))
+        rows = rows.select("_key", F.explode(F.concat(itself, *lists)).alias("x"))
+        at = {e.child for _, e in held}
+    return rows
 
 
 def shred(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> dict[str, DataFrame]:
@@ -97,25 +136,16 @@ def shred(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> dict[str, D
     inlined leaves. Null gives no row. Rows whose JSON is null or invalid give none; columns other than the
     two are ignored, so clashing names do no harm. Recursive elements are followed to a depth of 16.
     """
-    base = df.select(F.col(key).alias("_key"), F.try_parse_json(json).alias("_v")).where(F.col("_v").isNotNull())
-    out: dict[str, list[DataFrame]] = {x: [] for x in graph.tables()}
-    leaves = lambda element: [F.try_variant_get("_v", p, "string").alias(c) for p, c in graph.inlined(element)]
-    out[graph.root].append(base.select(F.col("_key").alias(key), *leaves(graph.root)))
-
-    def walk(rows: DataFrame, element: str, pos: Column, depth: int) -> None:
-        """``rows``: _key, _pos, _v of one element."""
-        for e in _held(graph, element):
-            items = as_list(F.try_variant_get("_v", f"$.{e.name}", "variant"), e.json_text)
-            child = rows.select("_key", pos.alias("_parent"), F.posexplode(items).alias("_pos", "_v")).where(F.schema_of_variant("_v") != "VOID")
-            row = [F.col("_key").alias(key), F.lit(element).alias("parent_kind"), F.col("_parent").alias("parent_pos"), F.col("_pos").alias("pos"), F.lit(e.kind or e.child).alias("kind")]
-            value = F.when(~F.schema_of_variant("_v").startswith("OBJECT"), F.try_variant_get("_v", "$", "string")).alias("value")
-            out[e.child].append(child.select(*row, value, *leaves(e.child)))
-            if depth < 16:
-                walk(child, e.child, F.col("_pos"), depth + 1)
-
-    walk(base, graph.root, F.lit(-1), 0)
-    union = lambda parts: parts[0] if len(parts) == 1 else union([parts[0].unionByName(parts[1]), *parts[2:]])
-    return {x: union(parts) for x, parts in out.items() if parts}
+    rows, out = shred_rows(df, key, json, graph), {}
+    for element in graph.tables():
+        leaves = [F.try_variant_get("x.v", p, "string").alias(c) for p, c in graph.inlined(element)]
+        mine = rows.where(F.col("x.element") == element)
+        if element == graph.root:
+            out[element] = mine.select(F.col("_key").alias(key), *leaves)
+        else:
+            value = F.when(~F.schema_of_variant("x.v").startswith("OBJECT"), F.try_variant_get("x.v", "$", "string")).alias("value")
+            out[element] = mine.select(F.col("_key").alias(key), "x.parent_kind", "x.parent_pos", "x.pos", "x.kind", value, *leaves)
+    return out
 
 
 def _held(graph: SchemaGraph, element: str) -> list[Edge]:

@@ -20,16 +20,13 @@ NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """One row per child of a line, out of the flat tables."""
-    t = _nested_tables(spark, d)
-    of_record = F.col("parent_kind") == "record"
-    idents = t["identifier"].select("line_id", F.col("pos"), F.col("kind").alias("child_kind"), F.lit(0).alias("ord"))
-    rest = [t[x].select("line_id", F.when(of_record, -1).otherwise(F.col("parent_pos")).alias("pos"), F.col("kind").alias("child_kind"), F.col("pos").alias("ord")) for x in ("type", "taxon", "description")]
-    ic = t["record"].where(F.col("ic").rlike(NUMERIC)).select("line_id", F.lit(-1).alias("pos"), F.lit("ic").alias("child_kind"), F.lit(0).alias("ord"))
-    out = idents
-    for x in [*rest, ic]:
-        out = out.unionByName(x)
-    return out
+    """One row per child of a line, out of the rows of the flat tables."""
+    rows = nested.shred_rows(table(spark, d, "compendium_jsonl"), "line_id", "raw_line", nested.COMPENDIUM)
+    element, ic = F.col("x.element"), F.try_variant_get("x.v", "$.ic", "string")
+    rows = rows.where((element != "record") | ic.rlike(NUMERIC))
+    pos = F.when(element == "identifier", F.col("x.pos")).when(element == "record", -1).otherwise(F.col("x.parent_pos"))
+    place = F.when(element.isin("record", "identifier"), 0).otherwise(F.col("x.pos"))
+    return rows.select(F.col("_key").alias("line_id"), pos.alias("pos"), F.when(element == "record", "ic").otherwise(F.col("x.kind")).alias("child_kind"), place.alias("ord"))
 
 
 def p2_identifiers(spark: SparkSession, d: str) -> DataFrame:
