@@ -56,15 +56,18 @@ def _split_hubs(edges: DataFrame, scratch: Scratch, max_degree: int) -> DataFram
 
 
 def _grow(edges: DataFrame, level: int) -> DataFrame:
-    """v, c: the cluster of every vertex that has links."""
+    """v, c: the cluster of every vertex that has links.
+
+    All rounds are one statement, analysed once; the links' exchange is shared by the rounds.
+    """
     steps = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("to")), F.struct(F.col("b").alias("v"), F.col("a").alias("to"))))).select("col.*")
     ends = edges.select(F.explode(F.array("a", "b")).alias("v")).distinct()
     steps = steps.withColumn("cost", F.lit(_ONE)).unionByName(ends.select("v", F.col("v").alias("to"), F.lit(0).cast("bigint").alias("cost")))
-    state = ends.select("v", (_shift(F.col("v"), level) * _ONE + F.col("v")).alias("key"))
-    for _ in range(MAX_SHIFT):
-        sent = steps.join(state, "v").where(F.col("key") >= F.col("cost")).select(F.col("to").alias("v"), (F.col("key") - F.col("cost")).alias("key"))
-        state = sent.groupBy("v").agg(F.max("key").alias("key"))
-    return state.select("v", F.col("key").bitwiseAND(F.lit(_ONE - 1)).alias("c"))
+    state = "SELECT v, key FROM {first}"
+    for n in range(MAX_SHIFT):
+        state = f"SELECT s{n}.to AS v, max(p{n}.key - s{n}.cost) AS key FROM {{steps}} s{n} JOIN ({state}) p{n} ON s{n}.v = p{n}.v WHERE p{n}.key >= s{n}.cost GROUP BY s{n}.to"
+    first = ends.select("v", (_shift(F.col("v"), level) * _ONE + F.col("v")).alias("key"))
+    return edges.sparkSession.sql(f"SELECT v, key & {_ONE - 1} AS c FROM ({state})", steps=steps, first=first)
 
 
 def _contract(edges: DataFrame, clusters: DataFrame) -> DataFrame:
