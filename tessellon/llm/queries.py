@@ -43,7 +43,7 @@ def _survivor_rows(spark: SparkSession, d: str) -> DataFrame:
     """clique rows with their leader in plain form and their provider's trust (five known providers; 0 for any other)."""
     rank = table(spark, d, "provider_rank").where(F.col("provider").isNotNull()).groupBy("provider").agg(F.max("trust").alias("trust"))
     rows = table(spark, d, "clique").withColumn("leader", plain_curie("clique_leader")).where(F.col("leader").isNotNull())
-    return rows.join(F.broadcast(rank), "provider", "left").withColumn("trust", F.coalesce("trust", F.lit(0)))
+    return rows.join(rank, "provider", "left").withColumn("trust", F.coalesce("trust", F.lit(0)))
 
 
 def _ident_lines(spark: SparkSession, d: str) -> DataFrame:

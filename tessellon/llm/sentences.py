@@ -158,7 +158,7 @@ def _full_stop(text: str, i: int, j: int, after: int, case: int) -> bool:
         return not case and token.lower() != "".join(c for c in low if c) and nxt.isupper()
     if token.isdigit():
         line = text.rfind("\n", 0, i)
-        if not text[line + 1 : i - len(token)].strip() and len(token) <= 3 and (line < 0 or not text[:line].strip() or _BLANK_LINE.search(text, max(0, line - 40), i)):
+        if not text[line + 1 : i - len(token)].strip() and len(token) <= 3 and (line < 0 or not text[max(0, line - 200) : line].strip() or _BLANK_LINE.search(text, max(0, line - 40), i)):
             return False
         if len(token) <= 3 and before.lower() in ORDINAL_AFTER:
             return False
@@ -440,4 +440,6 @@ def split_sentences(docs: DataFrame, key: str, text: str, chunk_chars: int = CHU
     id_type = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
     short = rows.where(F.length("_text") <= chunk_chars).mapInPandas(_read, f"_id {id_type}, sent_no int, begin_pos int, end_pos int")
-    return short.unionByName(_long(rows.where(F.length("_text") > chunk_chars), chunk_chars, id_type)).withColumnRenamed("_id", key)
+    long = rows.where(F.length("_text") > chunk_chars)
+    out = short if long.isEmpty() else short.unionByName(_long(long, chunk_chars, id_type))
+    return out.withColumnRenamed("_id", key)

@@ -58,13 +58,13 @@ def fuse(
 
 def _vote(claims: DataFrame, acc: DataFrame, discount: DataFrame | None, n: float) -> DataFrame:
     """item, value, posterior, votes: log-odds votes of sources, weighted by their independence."""
-    rows = claims.join(F.broadcast(acc), "source")  # a row per source
+    rows = claims.join(acc, "source")
     rows = rows.withColumn("score", F.log(n * F.col("accuracy") / (1 - F.col("accuracy"))))
     if discount is not None:
         # weight of a source's vote: the chance that it copied none of the more accurate sources that claim the same
         claimed = rows.groupBy("item", "value").agg(F.collect_set("source").alias("sources"))  # as many as there are sources
         lists = discount.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("leader", "independent"))).alias("from"))
-        rows = rows.join(claimed, ["item", "value"]).join(F.broadcast(lists), "source", "left")
+        rows = rows.join(claimed, ["item", "value"]).join(lists, "source", "left")
         weight = F.aggregate(F.col("sources"), F.lit(1.0), lambda a, s: a * F.coalesce(F.element_at("from", s), F.lit(1.0)))
         rows = rows.withColumn("score", F.col("score") * F.coalesce(weight, F.lit(1.0)))
     votes = rows.groupBy("item", "value").agg(F.sum("score").alias("score"), F.count("*").alias("votes"))
@@ -92,7 +92,7 @@ def _dependence(claims: DataFrame, truth: DataFrame, acc: DataFrame, n: float, p
         F.sum(F.when(same, p).otherwise(0.0)).alias("both_true"), F.sum(F.when(same, 1 - p).otherwise(0.0)).alias("both_false"), F.sum(F.when(same, 0).otherwise(1)).alias("differ")
     )
     a1, a2 = acc.select(F.col("source").alias("s1"), F.col("accuracy").alias("a1")), acc.select(F.col("source").alias("s2"), F.col("accuracy").alias("a2"))
-    c = counts.join(F.broadcast(a1), "s1").join(F.broadcast(a2), "s2")
+    c = counts.join(a1, "s1").join(a2, "s2")
     t, f = F.col("a1") * F.col("a2"), (1 - F.col("a1")) * (1 - F.col("a2")) / n
     d = F.greatest(F.lit(1e-6), 1 - t - f)
     copied_t, copied_f, copied_d = rate * F.col("a1") + (1 - rate) * t, rate * (1 - F.col("a1")) + (1 - rate) * f, (1 - rate) * d
