@@ -127,12 +127,12 @@ def _reader(columns: dict[str, int]):
     return read
 
 
-def _valid(check: str, c: Column, known: Column) -> Column:
-    """Whether a field passes its check; ``known`` is the array of predicates allowed in the file."""
+def _valid(check: str, c: Column) -> Column:
+    """Whether a field passes its check; ``_known`` is set where the predicate is allowed in the file."""
     if check == "curie":
         return c.rlike(f"^[^:{WS_CLASS}]+:[^{WS_CLASS}]+$") & ~c.contains("\n")
     if check == "predicate":
-        return F.array_contains(known, c)
+        return F.coalesce("_known", F.lit(False))
     if check == "text":
         return c.rlike(r"[\p{L}\p{N}]") & ~c.rlike(r"[\x{FFFD}\x00-\x08\x0B-\x1F\x7F-\x9F]")
     if check == "url":
@@ -158,11 +158,12 @@ def parse_lines(df: DataFrame, known: DataFrame, kinds: tuple[LineKind, ...] = (
     schema = "_id long, _kind string, _fields array<string>, reason string, edits array<string>"
     slow = rows.where(~easy & (F.col("_kind") != "")).mapInPandas(_reader({k.name: len(k.columns) for k in kinds}), schema)
     lost = rows.where(F.col("_kind") == "").select("_id", "_kind", F.lit(None).cast("array<string>").alias("_fields"), F.lit("unknown_file").alias("reason"), no_edit.alias("edits"))
-    # the predicates allowed: a fixed list of a few names
-    allowed = known.agg(*[F.coalesce(F.collect_set(F.when(F.col("filename") == k.name, F.col("predicate"))), F.array().cast("array<string>")).alias(f"_known_{k.name}") for k in kinds])
-    checked = quick.unionByName(slow).crossJoin(F.broadcast(allowed))
+    place = {k.name: next((i for i, (_, c) in enumerate(k.columns) if c == "predicate"), None) for k in kinds}
+    predicate = F.coalesce(*[F.when(F.col("_kind") == n, F.get("_fields", F.lit(i))) for n, i in place.items() if i is not None], F.lit(None).cast("string"))
+    allowed = known.select(F.col("filename").alias("_kind"), F.col("predicate").alias("_predicate")).distinct().withColumn("_known", F.lit(True))
+    checked = quick.unionByName(slow).withColumn("_predicate", predicate).join(allowed, ["_kind", "_predicate"], "left")
     good = F.coalesce(
-        *[F.when(F.col("_kind") == k.name, _all([_valid(c, F.get("_fields", F.lit(i)), F.col(f"_known_{k.name}")) for i, (_, c) in enumerate(k.columns)])) for k in kinds],
+        *[F.when(F.col("_kind") == k.name, _all([_valid(c, F.get("_fields", F.lit(i))) for i, (_, c) in enumerate(k.columns)])) for k in kinds],
         F.lit(True),
     )
     reason = F.coalesce("reason", F.when(F.col("_fields").isNotNull() & ~good, "invalid_value"))

@@ -63,9 +63,9 @@ def concord_of(xrefs: DataFrame, root_prefix: str, renames: dict[str, str], igno
 def ids_by_roots(closure: DataFrame, root_types: DataFrame, excluded: DataFrame | None = None, wanted_prefix: str | None = None) -> DataFrame:
     """``closure``: root, node; ``root_types``: root, type, rank (rank 0 is most specific). curie, type: the most specific root's type;
     nodes below an excluded root fall out."""
-    rows = closure.join(F.broadcast(root_types), "root")
+    rows = closure.join(root_types, "root")
     if excluded is not None:
-        gone = closure.join(F.broadcast(excluded.select("root")), "root", "left_semi").select("node").distinct()
+        gone = closure.join(excluded.select("root"), "root", "left_semi").select("node").distinct()
         rows = rows.join(gone, "node", "left_anti")
     if wanted_prefix:
         rows = rows.where(prefix("node") == wanted_prefix)
@@ -79,7 +79,7 @@ def tree_ids(tree: DataFrame, branches: DataFrame, extra: DataFrame | None = Non
     A number lies in a branch if one of its own leading parts is the branch: an equality, not a scan of pairs."""
     parts = F.split("number", "\\.")
     heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
-    rows = tree.where("number IS NOT NULL").select("id", F.explode(heads).alias("branch")).join(F.broadcast(branches), "branch").select("id", "type", "rank")
+    rows = tree.where("number IS NOT NULL").select("id", F.explode(heads).alias("branch")).join(branches, "branch").select("id", "type", "rank")
     if extra is not None:
         rows = rows.unionByName(extra.select("id", "type", F.lit(1_000_000).alias("rank")))
     key = F.struct((F.col("type") != "EXCLUDE").alias("kept"), "rank", "type")

@@ -116,7 +116,7 @@ def conflation_type(members: DataFrame, types: DataFrame, order: tuple[str, ...]
 def order_members(members: DataFrame, types: DataFrame, prefix_ranks: DataFrame, last: tuple[str, ...] = ("RXCUI", "UMLS")) -> DataFrame:
     """clique, pos, curie: by the type's prefix order, then number of the suffix (non-numeric ones after), then identifier.
     Prefixes of ``last`` and those the type does not list come at the end, in this order."""
-    rows = members.select("clique", "curie").distinct().join(types, "clique", "left").withColumn("prefix", prefix("curie")).join(F.broadcast(prefix_ranks), ["type", "prefix"], "left")
+    rows = members.select("clique", "curie").distinct().join(types, "clique", "left").withColumn("prefix", prefix("curie")).join(prefix_ranks, ["type", "prefix"], "left")
     n = numeric_suffix("curie")
     rank = F.when(F.col("prefix").isin(*last), 1_000_000).otherwise(F.coalesce("rank", F.lit(2_000_000)))
     w = Window.partitionBy("clique").orderBy(rank, n.isNull(), n, "curie")
@@ -165,7 +165,7 @@ def leftover_concepts(concepts: DataFrame, used: DataFrame, semantic_types: Data
     from tessellon.operators.typing import resolve_types
 
     left = concepts.join(used.select("curie").distinct(), "curie", "left_anti").groupBy("curie").agg(F.min_by("label", "seq").alias("label"))
-    kinds = semantic_types.join(F.broadcast(type_map), "tree").select(F.col("curie").alias("concept"), "type")
+    kinds = semantic_types.join(type_map, "tree").select(F.col("curie").alias("concept"), "type")
     typed, failed = resolve_types(kinds.join(left.select(F.col("curie").alias("concept")), "concept", "left_semi"), rules)
     good = left.join(typed.withColumnRenamed("concept", "curie"), "curie")
     bad = left.join(good.select("curie"), "curie", "left_anti").join(failed.withColumnRenamed("concept", "curie"), "curie", "left")

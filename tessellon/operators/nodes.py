@@ -22,7 +22,7 @@ def ordered_members(members: DataFrame, types: DataFrame, prefix_ranks: DataFram
     the prefix spelled as in the table. Cliques without a valid member vanish.
     """
     ranks = prefix_ranks.select("type", F.col("prefix").alias("spelled"), F.upper("prefix").alias("_p"), "rank")
-    rows = members.select("clique", "curie").distinct().join(types, "clique").withColumn("_p", upper_prefix("curie")).join(F.broadcast(ranks), ["type", "_p"])
+    rows = members.select("clique", "curie").distinct().join(types, "clique").withColumn("_p", upper_prefix("curie")).join(ranks, ["type", "_p"])
     rows = rows.select("clique", "rank", F.concat("spelled", F.lit(":"), suffix("curie")).alias("curie")).distinct()
     return rows.withColumn("pos", F.row_number().over(Window.partitionBy("clique").orderBy("rank", "curie")) - 1).select("clique", "pos", "curie")
 
@@ -108,7 +108,7 @@ def contract_iris(iris: DataFrame, prefix_map: DataFrame) -> DataFrame:
     """
     lengths = [r[0] for r in prefix_map.select(F.length("stem")).distinct().collect()]  # a few lengths of a static table
     out = iris.withColumn("_s", F.explode_outer(F.array(*[F.when(F.length("iri") > n, F.left("iri", F.lit(n))) for n in sorted(lengths)])))
-    out = out.join(F.broadcast(prefix_map.select(F.col("stem").alias("_s"), F.col("prefix").alias("_p"))), "_s", "left")
+    out = out.join(prefix_map.select(F.col("stem").alias("_s"), F.col("prefix").alias("_p")), "_s", "left")
     made = F.concat("_p", F.lit(":"), F.substr("iri", F.length("_s") + 1))
     keep = [c for c in iris.columns]
     return out.groupBy(*keep).agg(F.max_by(F.when(F.col("_p").isNotNull(), made), F.when(F.col("_p").isNotNull(), F.length("_s"))).alias("curie"))
@@ -201,11 +201,12 @@ def synonym_records(members: DataFrame, synonyms: DataFrame, names: DataFrame, t
     kinds = types.select("clique", F.array(F.col("type")).alias("t"))
     if ancestors_of is not None:
         chain = ancestors_of.groupBy("type").agg(F.transform(F.array_sort(F.collect_list(F.struct("distance", "ancestor"))), lambda x: x["ancestor"]).alias("t"))
-        kinds = types.join(F.broadcast(chain), "type").select("clique", "t")
+        kinds = types.join(chain, "type").select("clique", "t")
     out = lead.join(n, "clique").join(names.where("preferred_name <> ''"), "clique").join(kinds, "clique")
     return out.select("curie", "names", F.transform("t", lambda x: F.regexp_replace(x, "^biolink:", "")).alias("types"), "preferred_name", "shortest_name_length", "clique_identifier_count", numeric_suffix("curie").alias("curie_suffix"))
 
 
 def counts(members: DataFrame, synonyms: DataFrame) -> DataFrame:
     """One row: cliques, identifiers and synonyms."""
-    return members.agg(F.count_distinct("clique").alias("cliques"), F.count("*").alias("eq_ids")).crossJoin(synonyms.agg(F.count("*").alias("synonyms")))
+    a = members.agg(F.count_distinct("clique").alias("cliques"), F.count("*").alias("eq_ids")).withColumn("_one", F.lit(1))
+    return a.join(synonyms.agg(F.count("*").alias("synonyms")).withColumn("_one", F.lit(1)), "_one").drop("_one")

@@ -8,7 +8,7 @@ the chunks before it, so no key is ever one task's work and no parent row is cop
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessellon.session import Scratch
@@ -18,12 +18,13 @@ CHUNK_ROWS = 200_000
 _FOREVER = "9999-12-31 23:59:59.999999"
 
 
-def _chunk(hot: dict[object, list], key: Column, ts: Column) -> Column:
-    """Chunk number by the cut points of a hot key; 0 for all other keys."""
+def _with_chunk(df: DataFrame, hot: dict[object, list]) -> DataFrame:
+    """Adds _chunk by the cut points of a hot key; 0 for all other keys. The table broadcast has 1000 rows at most."""
     if not hot:
-        return F.lit(0)
-    cuts = F.element_at(F.create_map(*[x for k, c in hot.items() for x in (F.lit(k), F.array(*[F.lit(t).cast("timestamp_ntz") for t in c]))]), key)
-    return F.coalesce(F.size(F.filter(cuts, lambda c: c <= ts)), F.lit(0))
+        return df.withColumn("_chunk", F.lit(0))
+    cuts = df.sparkSession.createDataFrame(list(hot.items()), f"_hot {df.schema['_key'].dataType.simpleString()}, _cuts array<timestamp_ntz>")
+    out = df.join(F.broadcast(cuts), F.col("_key") == F.col("_hot"), "left")
+    return out.withColumn("_chunk", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_ts"))), F.lit(0))).drop("_hot", "_cuts")
 
 
 def hot_keys(stream: DataFrame, chunk_rows: int, rows: int) -> dict[object, list]:
@@ -64,12 +65,12 @@ def orphans(refs: DataFrame, parents: DataFrame, scratch: Scratch, chunk_rows: i
         p.where(F.col("_ts").isNotNull()).select("_key", "_ts", F.lit(1).alias("_kind"), "_end", no_end.alias("_last"), F.lit(True).alias("_listed"), *empty)
     ).unionByName(r.select("_key", "_ts", F.lit(2).alias("_kind"), no_end.alias("_end"), no_end.alias("_last"), F.lit(None).cast("boolean").alias("_listed"), *payload))
     hot = _find_hot(r, p, chunk_rows)
-    stream = stream.withColumn("_chunk", _chunk(hot, F.col("_key"), F.col("_ts")))
+    stream = _with_chunk(stream, hot)
     heads = p.groupBy("_key").agg(F.max("_ts").alias("_last"))
     heads = heads.select("_key", F.lit(None).cast("timestamp_ntz").alias("_ts"), F.lit(0).alias("_kind"), no_end.alias("_end"), "_last", F.lit(True).alias("_listed"), *empty)
     if hot:
-        last = F.element_at(F.create_map(*[x for k, c in hot.items() for x in (F.lit(k), F.lit(len(c)))]), F.col("_key"))
-        heads = heads.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0)))))
+        last = refs.sparkSession.createDataFrame([(k, len(c)) for k, c in hot.items()], f"_key {refs.schema['_key'].dataType.simpleString()}, _chunks int")
+        heads = heads.join(F.broadcast(last), "_key", "left").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.coalesce("_chunks", F.lit(0))))).drop("_chunks")
         # summary of earlier chunks: at most (chunks of hot keys) rows, a bounded table
         ends = stream.where((F.col("_kind") == 1) & F.col("_key").isin(*hot)).groupBy("_key", "_chunk").agg(F.max("_end").alias("_e"))
         before = ends.withColumn("_chunk", F.explode(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda c: c > F.col("_chunk")))).groupBy("_key", "_chunk").agg(F.max("_e").alias("_e"))

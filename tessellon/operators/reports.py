@@ -63,7 +63,7 @@ def clique_prefix_report(edges: DataFrame) -> DataFrame:
     for lv, lead, file in ((0, F.col("leader_prefix"), F.col("filename")), (1, F.col("leader_prefix"), F.lit(None).cast("string")), (3, F.lit(None).cast("string"), F.lit(None).cast("string"))):
         part = base.groupBy(lead.alias("lp"), file.alias("fn"), "p").agg(F.sum("n").alias("n")).groupBy("lp", "fn").agg(_joined(F.concat_ws("=", "p", F.col("n").cast("string"))).alias("histogram")).withColumn("lv", F.lit(lv))
         shares = part if shares is None else shares.unionByName(part)
-    out = sizes.join(F.broadcast(shares), (F.col("level") == F.col("lv")) & F.col("leader_prefix").eqNullSafe(F.col("lp")) & F.col("filename").eqNullSafe(F.col("fn")))
+    out = sizes.join(shares, (F.col("level") == F.col("lv")) & F.col("leader_prefix").eqNullSafe(F.col("lp")) & F.col("filename").eqNullSafe(F.col("fn")))
     return out.select(F.col("level").cast("int").alias("level"), "leader_prefix", "filename", "cliques", "curies", "histogram")
 
 

@@ -24,25 +24,27 @@ class Plan:
     heavy: dict[object, list[int]]  # tasks of a heavy key's shards; at most 4 * tasks keys
     loads: list[int]  # estimated rows of each task
 
-    def _shards(self, key: Column) -> Column:
-        """Tasks of a heavy key, else null. The map has at most 4 * tasks entries, whatever the data's size."""
+    def _with_shards(self, df: DataFrame, key: str) -> DataFrame:
+        """Adds _shards, the tasks of a heavy key, else null. The table broadcast has at most 4 * tasks rows."""
         if not self.heavy:
-            return F.lit(None).cast("array<int>")
-        return F.element_at(F.create_map(*[x for k, t in self.heavy.items() for x in (F.lit(k), F.array(*map(F.lit, t)))]), key)
+            return df.withColumn("_shards", F.lit(None).cast("array<int>"))
+        kind = df.schema[key].dataType.simpleString()
+        table = df.sparkSession.createDataFrame(list(self.heavy.items()), f"_heavy {kind}, _shards array<int>")
+        return df.join(F.broadcast(table), F.col(key) == F.col("_heavy"), "left").drop("_heavy")
 
     def _bin(self, key: Column) -> Column:
         return F.element_at(F.array(*map(F.lit, self.bins)), F.pmod(F.xxhash64(key), F.lit(len(self.bins))).cast("int") + 1)
 
     def fragment(self, df: DataFrame, key: str, within: list[str]) -> DataFrame:
         """Rows on their tasks, named in ``_task``. ``within``: rows equal in these stay in one shard."""
-        s = self._shards(F.col(key))
-        shard = F.element_at(s, F.pmod(F.xxhash64(*within), F.size(s)).cast("int") + 1)
-        return df.withColumn("_task", F.coalesce(F.when(s.isNotNull(), shard), self._bin(F.col(key)))).repartitionById(self.tasks, F.col("_task"))
+        shard = F.element_at("_shards", F.pmod(F.xxhash64(*within), F.size("_shards")).cast("int") + 1)
+        placed = self._with_shards(df, key).withColumn("_task", F.coalesce(F.when(F.col("_shards").isNotNull(), shard), self._bin(F.col(key))))
+        return placed.drop("_shards").repartitionById(self.tasks, F.col("_task"))
 
     def replicate(self, df: DataFrame, key: str) -> DataFrame:
         """The matching side, on every task that holds a shard of the key and nowhere else."""
-        tasks = F.coalesce(F.array_distinct(self._shards(F.col(key))), F.array(self._bin(F.col(key))))
-        return df.withColumn("_task", F.explode(tasks)).repartitionById(self.tasks, F.col("_task"))
+        tasks = F.coalesce(F.array_distinct("_shards"), F.array(self._bin(F.col(key))))
+        return self._with_shards(df, key).withColumn("_task", F.explode(tasks)).drop("_shards").repartitionById(self.tasks, F.col("_task"))
 
 
 def pack(bins: list[int], heavy: dict[object, int], tasks: int) -> Plan:

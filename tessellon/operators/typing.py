@@ -77,5 +77,5 @@ def resolve_types(concepts: DataFrame, rules: DataFrame) -> tuple[DataFrame, Dat
     One type stands; several go by the rule for that set. Returns (concept, type) and the unresolved (concept, types).
     """
     sets = concepts.where(F.col("type").isNotNull()).groupBy("concept").agg(F.array_join(F.array_sort(F.collect_set("type")), "|").alias("types"))
-    got = sets.join(F.broadcast(rules), "types", "left").withColumn("type", F.coalesce("resolved", F.when(~F.col("types").contains("|"), F.col("types"))))
+    got = sets.join(rules, "types", "left").withColumn("type", F.coalesce("resolved", F.when(~F.col("types").contains("|"), F.col("types"))))
     return got.where(F.col("type").isNotNull()).select("concept", "type"), got.where(F.col("type").isNull()).select("concept", "types")

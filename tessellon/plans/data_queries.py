@@ -91,8 +91,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     scratch, found = Scratch(spark, "p5"), []
     for name, counts in (("edge", _leader_counts(spark, d)), ("clique", _type_counts(spark, d))):
         counts = scratch.write(counts, name)
-        total = counts.agg(F.sum("n").alias("total"))  # one row
-        found.append(counts.crossJoin(F.broadcast(total)).where(F.col("n") * 100 >= F.col("total")).select("field_name", "key_value"))
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        found.append(counts.where(F.col("n") * 100 >= total).select("field_name", "key_value"))
     return found[0].unionByName(found[1])
 
 

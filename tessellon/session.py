@@ -54,7 +54,9 @@ class Scratch:
         full = f"{self.id}_{name}"
         self.spark.sql(f"DROP TABLE IF EXISTS {full}")
         (df.repartition(buckets, *keys).write.mode("overwrite").option("path", f"{self.root}/{name}").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(full))
-        return self.spark.table(full)
+        out = self.spark.table(full)
+        self.spark.sql(f"DROP TABLE {full}")  # the catalog's entry only: the files lie at a path of their own
+        return out
 
     def drop(self, name: str) -> None:
         """Delete a table that nothing will read again."""

@@ -31,7 +31,7 @@ def conso(rows: DataFrame, english: bool = True) -> DataFrame:
 def umls_ids(sty: DataFrame, type_map: DataFrame, blocked_trees: tuple[str, ...] = (), blocked_ids: DataFrame | None = None) -> DataFrame:
     """``sty``: seq, cui, tree; ``type_map``: tree, type. curie, type by the first mapped tree in file order; a concept with any blocked
     tree, and blocked ids, fall out."""
-    g = sty.join(F.broadcast(type_map), "tree", "left").groupBy("cui").agg(
+    g = sty.join(type_map, "tree", "left").groupBy("cui").agg(
         F.max(F.col("tree").isin(*blocked_trees) if blocked_trees else F.lit(False)).alias("blocked"),
         F.min_by(F.when(F.col("type").isNotNull(), F.col("type")), F.when(F.col("type").isNotNull(), F.struct("seq", "type"))).alias("type"),
     )
@@ -66,7 +66,7 @@ def umls_concord(rows: DataFrame, sources: dict[str, str], acceptable: DataFrame
 def umls_labels(rows: DataFrame, precedence: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``rows``: seq, cui, sab, tty, term; ``precedence``: sab, tty, priority. Labels (least priority, term, line) and synonyms (terms of
     digits only left out)."""
-    p = rows.join(F.broadcast(precedence), ["sab", "tty"], "left").withColumn("priority", F.coalesce("priority", F.lit(1_000_000)))
+    p = rows.join(precedence, ["sab", "tty"], "left").withColumn("priority", F.coalesce("priority", F.lit(1_000_000)))
     labels = p.groupBy("cui").agg(F.min_by("term", F.struct("priority", "term", "seq")).alias("label")).select(F.concat(F.lit("UMLS:"), "cui").alias("curie"), "label")
     names = rows.where(~F.col("term").rlike(r"^\d+$")).select(F.concat(F.lit("UMLS:"), "cui").alias("curie"), F.lit(EXACT).alias("predicate"), F.col("term").alias("synonym")).distinct()
     return labels, names
