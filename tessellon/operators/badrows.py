@@ -12,13 +12,16 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessellon.functions.curie import WS_CLASS, not_blank
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 _START, _PLAIN, _QUOTED, _CLOSED = range(4)
 _NAMES = {"T": "tab", "Q": "quote"}
 
@@ -113,6 +116,8 @@ def cheapest_edits(line: str, columns: int) -> list[str]:
 
 def _reader(columns: dict[str, int]):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         for pdf in batches:
             fields, reasons, edits = [], [], []
             for kind, line in zip(pdf["_kind"], pdf["_line"]):

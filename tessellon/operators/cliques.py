@@ -8,8 +8,8 @@ each by one task that streams its sorted pairs. Sets are kept as rows (set, memb
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +17,9 @@ from tessellon.functions.curie import prefix, upper_prefix
 from tessellon.operators.components import components
 from tessellon.session import Scratch
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: Prefixes that must not occur bare; a pair with one is an error in the input.
 BARE_PREFIXES = ("KEGG", "PUBCHEM")
 ORDER = ("stage", "file_seq", "seq")
@@ -73,6 +76,8 @@ class _Fold:
 
 def _fold(unique: tuple[str, ...], close: set[tuple[str, str]]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         now, fold = None, None
         for pdf in batches:
             rows = []

@@ -6,8 +6,8 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -15,6 +15,9 @@ from pyspark.sql.types import StringType
 from tessellon.functions.curie import prefix, suffix
 from tessellon.operators.cliques import overused_xrefs
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 EXACT = "oio:hasExactSynonym"
 
 
@@ -219,10 +222,13 @@ def mapped_pairs(rows: DataFrame, namespaces: dict[str, str], own: str) -> DataF
     return rows.where(F.col("namespace").isin(*namespaces)).select(F.concat(F.lit(f"{own}:"), "id").alias("subject"), F.lit("xref").alias("predicate"), F.concat(spelled, F.lit(":"), "value").alias("object"))
 
 
-@F.pandas_udf(StringType())
-def plain_html(s: pd.Series) -> pd.Series:
+def _plain(x: str | None) -> str | None:
+    return None if x is None else html.unescape(re.sub(r"<[^<>]+>", "", x))
+
+
+def plain_html(c: Column | str) -> Column:
     """Text without tags and with entities resolved."""
-    return s.map(lambda x: None if x is None else html.unescape(re.sub(r"<[^<>]+>", "", x)))
+    return F.udf(_plain, StringType(), useArrow=True)(c)
 
 
 def gtopdb(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -344,6 +350,8 @@ def pathway_tree(trees: DataFrame, type_map: dict[str, str]) -> DataFrame:
     """``value``: a nested JSON node. curie, label, type of every node at any depth."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         for pdf in batches:
             rows: list = []
             for text in pdf["value"]:
@@ -388,17 +396,16 @@ RESIDUES = {
 }
 
 
-@F.pandas_udf(StringType())
-def one_letter_sequence(s: pd.Series) -> pd.Series:
-    """``Ala Arg-Gly`` to ``ARG``; null where a residue is unknown."""
+def _one_letter(x: str | None) -> str | None:
+    if x is None:
+        return None
+    letters = [RESIDUES.get(r.capitalize()) for r in re.findall(r"[A-Za-z]+", x)]
+    return None if not letters or None in letters else "".join(letters)
 
-    def of(x: str | None) -> str | None:
-        if x is None:
-            return None
-        letters = [RESIDUES.get(r.capitalize()) for r in re.findall(r"[A-Za-z]+", x)]
-        return None if not letters or None in letters else "".join(letters)
 
-    return s.map(of)
+def one_letter_sequence(c: Column | str) -> Column:
+    """``Ala Arg-Gly`` to ``ARG``; null where a residue is unknown."""
+    return F.udf(_one_letter, StringType(), useArrow=True)(c)
 
 
 def flat_file(rows: DataFrame) -> DataFrame:
