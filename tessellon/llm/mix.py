@@ -13,14 +13,17 @@ from __future__ import annotations
 import heapq
 import os
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessellon.functions.curie import trim_ws
 from tessellon.session import Scratch
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 TOKENIZER = os.environ.get("TESSELLON_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 BLOCK_TOKENS = 4096
 MAX_BLOCKS = 50_000
@@ -35,6 +38,8 @@ def source_name(c: str) -> Column:
 
 def _counter(path: str):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -15,14 +15,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessellon.functions.curie import WS_CLASS
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: A quotation or bracket whose end lies further off, or beyond its unit, is plain text.
 MAX_QUOTE = 2000
 #: Texts of more characters are split into chunks of this size.
@@ -349,6 +352,8 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pandas as pd
+
     for pdf in batches:
         ids, no, begin, end = [], [], [], []
         for doc, text in zip(pdf["_id"], pdf["_text"]):
@@ -372,6 +377,8 @@ def chunk_starts(text: str, size: int) -> list[int]:
 
 def _splitter(size: int):
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         for pdf in batches:
             for doc, text in zip(pdf["_id"], pdf["_text"]):
                 case, starts = case_of(text), chunk_starts(text, size)
@@ -389,12 +396,16 @@ def _chunk_events(row) -> list[tuple[int, int]]:
 
 
 def _functions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pandas as pd
+
     for pdf in batches:
         rows = [(r.doc, r.chunk, transition(_chunk_events(r)).tolist()) for r in pdf.rename(columns={"_id": "doc"}).itertuples(index=False)]
         yield pd.DataFrame(rows, columns=["_id", "chunk", "f"])
 
 
 def _emit_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pandas as pd
+
     for pdf in batches:
         rows = []
         for r in pdf.rename(columns={"_id": "doc"}).itertuples(index=False):
@@ -410,13 +421,10 @@ def _long(docs: DataFrame, chunk_chars: int, id_type: str) -> DataFrame:
     fs = chunks.mapInPandas(_functions, f"_id {id_type}, chunk long, f array<int>")
     listed = fs.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "f"))).alias("fs"))
 
-    @F.pandas_udf("array<int>")
-    def entry_states(all_f: pd.Series) -> pd.Series:
-        def of(fs) -> list[int]:
-            scan = compose([np.asarray(x["f"], dtype=np.int64) for x in fs])
-            return [START, *[int(f[START]) for f in scan[:-1]]]
-
-        return all_f.map(of)
+    @F.udf("array<int>", useArrow=True)
+    def entry_states(fs):
+        scan = compose([np.asarray(x["f"], dtype=np.int64) for x in fs])
+        return [START, *[int(f[START]) for f in scan[:-1]]]
 
     states = listed.select("_id", F.posexplode(entry_states("fs")).alias("chunk", "state")).withColumn("chunk", F.col("chunk").cast("bigint"))
     found = chunks.join(states, ["_id", "chunk"]).mapInPandas(_emit_chunks, f"_id {id_type}, cut long").distinct()
