@@ -23,3 +23,50 @@ UMLS_SOURCES = {
     "taxon": {"MSH": "MESH", "NCBI": "NCBITaxon"},
     "chemicals": {"MSH": "MESH", "DRUGBANK": "DRUGBANK", "RXNORM": "RXCUI"},
 }
+
+# Semantic-type trees of UMLS that give each domain's identifiers, with their type.
+UMLS_TREES = {
+    "anatomy": {"A1.2": "biolink:AnatomicalEntity", "A1.2.1": "biolink:AnatomicalEntity", "A1.2.3.1": "biolink:AnatomicalEntity", "A1.2.3.2": "biolink:AnatomicalEntity", "A2.1.4.1": "biolink:AnatomicalEntity", "A2.1.5.1": "biolink:AnatomicalEntity", "A2.1.5.2": "biolink:AnatomicalEntity", "A1.2.3.3": "biolink:Cell", "A1.2.3.4": "biolink:CellularComponent"},
+    "disease": {"B2.2.1.2.1": "biolink:Disease", "A1.2.2.1": "biolink:Disease", "A1.2.2.2": "biolink:Disease", "B2.3": "biolink:Disease", "B2.2.1.2": "biolink:Disease", "B2.2.1.2.1.1": "biolink:Disease", "B2.2.1.2.2": "biolink:Disease", "A1.2.2": "biolink:Disease", "B2.2.1.2.1.2": "biolink:Disease", "A2.2": "biolink:PhenotypicFeature", "A2.2.1": "biolink:PhenotypicFeature", "A2.2.2": "biolink:PhenotypicFeature", "A2.3": "biolink:PhenotypicFeature"},
+    "process": {"B2.2.1.1.4": "biolink:MolecularActivity", "B2.2.1.1": "biolink:BiologicalProcess", "B2.2.1.1.1": "biolink:BiologicalProcess", "B2.2.1.1.2": "biolink:BiologicalProcess", "B2.2.1.1.3": "biolink:BiologicalProcess", "B2.2.1.1.4.1": "biolink:BiologicalProcess"},
+    "protein": {"A1.4.1.2.1.7": "biolink:Protein"},
+    "taxon": {"A1.1.3": "biolink:OrganismTaxon", "A1.1.2": "biolink:OrganismTaxon", "A1.1.3.3": "biolink:OrganismTaxon", "A1.1.3.2": "biolink:OrganismTaxon", "A1.1.3.1.1.3": "biolink:OrganismTaxon", "A1.1.3.1.1.2": "biolink:OrganismTaxon", "A1.1.4": "biolink:OrganismTaxon", "A1.1.3.1.1.4": "biolink:OrganismTaxon", "A1.1.3.1.1.5": "biolink:OrganismTaxon", "A1.1.3.1.1.1": "biolink:OrganismTaxon", "A1.1.1": "biolink:OrganismTaxon", "A1.1.3.1": "biolink:OrganismTaxon", "A1.1": "biolink:OrganismTaxon", "A1.1.3.1.1": "biolink:OrganismTaxon"},
+    "chemicals": {"A1.4.1.1.1.1": "biolink:ChemicalEntity", "A1.4.1.1.3.2": "biolink:ChemicalEntity", "A1.4.1.1.3.4": "biolink:ChemicalEntity", "A1.4.1.1.3.5": "biolink:ChemicalEntity", "A1.4.1.1.4": "biolink:ChemicalEntity", "A1.4.1.2": "biolink:ChemicalEntity", "A1.4.1.2.1": "biolink:ChemicalEntity", "A1.4.1.2.1.5": "biolink:ChemicalEntity", "A1.4.1.2.2": "biolink:ChemicalEntity", "A1.4.1.2.3": "biolink:ChemicalEntity", "A1.3.3": "biolink:Drug"},
+}
+# Trees that keep a concept out of a domain whatever else it is.
+UMLS_BLOCKED = {"chemicals": ("A1.4.1.1.3.6", "A1.4.1.1.3.3", "A1.4.1.2.1.7")}
+# Orders of types from most specific, for votes, and the order of a conflation's type.
+VOTE_ORDER = {
+    "anatomy": ("biolink:CellularComponent", "biolink:Cell", "biolink:GrossAnatomicalStructure", "biolink:AnatomicalEntity"),
+    "disease": ("biolink:Disease", "biolink:PhenotypicFeature"),
+    "process": ("biolink:Pathway", "biolink:BiologicalProcess", "biolink:MolecularActivity"),
+    "chemicals": ("biolink:Drug", "biolink:MolecularMixture", "biolink:SmallMolecule", "biolink:Polypeptide", "biolink:ComplexMolecularMixture", "biolink:ChemicalMixture", "biolink:ChemicalEntity"),
+}
+LEADING_PREFIXES = {"anatomy": ("GO", "CL", "UBERON"), "disease": ("MONDO", "HP"), "process": ("GO",)}
+CONFLATION_TYPE_ORDER = (
+    "biolink:SmallMolecule", "biolink:Polypeptide", "biolink:NucleicAcidEntity", "biolink:MolecularEntity", "biolink:ComplexMolecularMixture", "biolink:ChemicalMixture", "biolink:MolecularMixture",
+    "biolink:ProcessedMaterial", "biolink:Drug", "biolink:FoodAdditive", "biolink:Food", "biolink:EnvironmentalFoodContaminant", "biolink:ChemicalEntity",
+)
+
+
+def umls_ids(sty, domain: str, blocked_ids=None):
+    """Identifiers of a domain from UMLS semantic types (seq, cui, tree)."""
+    from tessellon.sources import parsers
+
+    trees = sty.sparkSession.createDataFrame(list(UMLS_TREES[domain].items()), "tree string, type string")
+    return parsers.umls_ids(sty, trees, UMLS_BLOCKED.get(domain, ()), blocked_ids)
+
+
+def mesh_ids(tree, domain: str, extra=None, excluded: tuple[str, ...] = ()):
+    """Identifiers of a domain from MeSH tree numbers (id, number); ``excluded`` branches drop an id."""
+    from tessellon.operators import closure
+
+    rows = [(b, "EXCLUDE", 0) for b in excluded] + [(b, t, i + 1) for i, (b, t) in enumerate(MESH_BRANCHES[domain])]
+    return closure.tree_ids(tree, tree.sparkSession.createDataFrame(rows, "branch string, type string, rank int"), extra)
+
+
+def typed(members, types, domain: str):
+    """clique, type by the domain's leading prefixes, then by vote in its order of types."""
+    from tessellon.operators import typing
+
+    return typing.typed_by_vote(members, types, VOTE_ORDER[domain], LEADING_PREFIXES.get(domain, ()))

@@ -6,7 +6,7 @@ import json
 
 import pytest
 
-from tessellon.sources import parsers, readers, sinks
+from tessellon.sources import domains, parsers, readers, sinks
 
 
 def rows(df, *cols):
@@ -142,3 +142,15 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "j")).count() == 5
     sinks.gzip_text(d.select("curie"), str(tmp_path / "g"))
     assert spark.read.text(str(tmp_path / "g")).count() == 5
+
+
+def test_domains(spark):
+    sty = frame(spark, "seq int, cui string, tree string", (1, "C1", "A1.2.3.3"), (2, "C2", "A1.4.1.2"), (3, "C2", "A1.4.1.1.3.3"), (4, "C3", "A1.3.3"), (5, "C4", "Z"))
+    assert rows(domains.umls_ids(sty, "anatomy"), "curie", "type") == [("UMLS:C1", "biolink:Cell")]
+    assert rows(domains.umls_ids(sty, "chemicals"), "curie", "type") == [("UMLS:C3", "biolink:Drug")]
+    tree = frame(spark, "id string, number string", ("D1", "A11.284.1"), ("D2", "A11.5"), ("D3", "A01.1"), ("D4", "A01.9"), ("D4", "A02.1"), ("D5", "X1"), ("D6", "A110"))
+    got = rows(domains.mesh_ids(tree, "anatomy", excluded=("A02",)), "curie", "type")
+    assert got == [("MESH:D1", "biolink:CellularComponent"), ("MESH:D2", "biolink:Cell"), ("MESH:D3", "biolink:AnatomicalEntity")]
+    m = frame(spark, "clique int, curie string", (1, "HP:1"), (1, "MONDO:1"), (2, "X:1"))
+    t = frame(spark, "curie string, type string", ("HP:1", "biolink:PhenotypicFeature"), ("MONDO:1", "biolink:Disease"), ("X:1", "biolink:PhenotypicFeature"))
+    assert rows(domains.typed(m, t, "disease"), "clique", "type") == [(1, "biolink:Disease"), (2, "biolink:PhenotypicFeature")]
