@@ -782,10 +782,10 @@ def op137_wikidata_pairs(spark, d):
 
 
 @query(f"""WITH e AS (SELECT {plain('clique_leader')} AS t, row_id, preferred_name AS name, provider AS kind FROM clique WHERE {plain('clique_leader')} IS NOT NULL AND preferred_name IS NOT NULL),
-g AS (SELECT t, arg_min(CASE WHEN kind = 'babel_core' THEN name END, CASE WHEN kind = 'babel_core' THEN row_id END) AS s, arg_min(CASE WHEN kind = 'chem_feed' THEN name END, CASE WHEN kind = 'chem_feed' THEN row_id END) AS c, arg_min(name, row_id) AS a FROM e GROUP BY t)
+g AS (SELECT t, arg_min(CASE WHEN kind = 'gene_feed' THEN name END, CASE WHEN kind = 'gene_feed' THEN row_id END) AS s, arg_min(CASE WHEN kind = 'chem_feed' THEN name END, CASE WHEN kind = 'chem_feed' THEN row_id END) AS c, arg_min(name, row_id) AS a FROM e GROUP BY t)
 SELECT 'NCBITaxon:' || t AS curie, CASE WHEN s IS NOT NULL AND c IS NOT NULL THEN s || ' (' || c || ')' ELSE coalesce(s, c, a) END AS label FROM g""")
 def op138_taxonomy_labels(spark, d):
-    kind = F.when(F.col("provider") == "babel_core", "scientific name").when(F.col("provider") == "chem_feed", "genbank common name").otherwise("other")
+    kind = F.when(F.col("provider") == "gene_feed", "scientific name").when(F.col("provider") == "chem_feed", "genbank common name").otherwise("other")
     rows = table(spark, d, "clique").select(F.col("row_id").alias("seq"), C.plain_curie("clique_leader").alias("tax_id"), F.col("preferred_name").alias("name"), kind.alias("kind")).where("tax_id IS NOT NULL AND name IS NOT NULL")
     return parsers.taxonomy(rows)[0]
 

@@ -38,12 +38,12 @@ def _cliques(spark, d):
     return table(spark, d, "clique").withColumn("leader", C.plain_curie("clique_leader")).where("leader IS NOT NULL")
 
 
-@query(f"""WITH {_CL}, r AS (SELECT leader, CASE WHEN provider = 'babel_core' THEN 'RXNORM' ELSE 'X' END AS sab, CASE biolink_type WHEN 'biolink:SmallMolecule' THEN 'IN' WHEN 'biolink:MolecularMixture' THEN 'MIN' WHEN 'biolink:Gene' THEN 'DF' ELSE 'SCD' END AS tty FROM c)
+@query(f"""WITH {_CL}, r AS (SELECT leader, CASE WHEN provider = 'gene_feed' THEN 'RXNORM' ELSE 'X' END AS sab, CASE biolink_type WHEN 'biolink:SmallMolecule' THEN 'IN' WHEN 'biolink:MolecularMixture' THEN 'MIN' WHEN 'biolink:Gene' THEN 'DF' ELSE 'SCD' END AS tty FROM c)
 SELECT 'RXCUI:' || leader AS curie, CASE WHEN bool_or(tty = 'IN') THEN 'biolink:ChemicalEntity' WHEN bool_or(tty = 'MIN') THEN 'biolink:MolecularMixture' ELSE 'biolink:Drug' END AS type FROM r GROUP BY leader HAVING bool_or(sab = 'RXNORM') AND NOT bool_or(tty = 'DF')""")
 def op112_rxnorm_ids(spark, d):
     t = F.col("biolink_type")
     tty = F.when(t == "biolink:SmallMolecule", "IN").when(t == "biolink:MolecularMixture", "MIN").when(t == "biolink:Gene", "DF").otherwise("SCD")
-    return parsers.rxnorm_ids(_cliques(spark, d).select(F.col("leader").alias("rxcui"), F.when(F.col("provider") == "babel_core", "RXNORM").otherwise("X").alias("sab"), tty.alias("tty")))
+    return parsers.rxnorm_ids(_cliques(spark, d).select(F.col("leader").alias("rxcui"), F.when(F.col("provider") == "gene_feed", "RXNORM").otherwise("X").alias("sab"), tty.alias("tty")))
 
 
 _E = f"e AS (SELECT {plain('clique_leader')} AS cui, {_pfx(plain('curie'))} AS sab, {plain('curie')} AS code FROM edge)"
