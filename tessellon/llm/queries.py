@@ -9,6 +9,7 @@ from tessellon.functions.curie import not_blank, plain_curie, trim_ws
 from tessellon.llm import groups, leak, mix, sentences, survivor
 from tessellon.operators import nested
 from tessellon.plans.data_sql import _IDENTS, plain, present, trim
+from tessellon.plans.reference_queries import _COMP
 from tessellon.session import Scratch, table
 
 PAIRS = (("drugchemical", "subject", "object"), ("curie_pairs", "curie1", "curie2"))
@@ -128,4 +129,7 @@ SELECT g.leader AS clique_leader, names.row_id AS name_row, ics.row_id AS ic_row
 FROM (SELECT leader FROM c WHERE leader IS NOT NULL GROUP BY leader HAVING count(*) >= 2) g
 LEFT JOIN names ON names.leader = g.leader LEFT JOIN ics ON ics.leader = g.leader LEFT JOIN best ON best.leader = g.leader"""
 
-SQL = {"p6_found": P6_FOUND}
+P1_FOUND = _COMP + " SELECT curie, clique AS group_id FROM comp"
+P1_SIZES = _COMP + " SELECT members, count(*) AS groups FROM (SELECT clique, count(*) AS members FROM comp GROUP BY clique) GROUP BY members"
+
+SQL = {"p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p6_found": P6_FOUND}
