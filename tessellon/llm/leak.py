@@ -3,8 +3,8 @@
 Texts become runs of tokens (words, or single letters for scripts without spaces) after case, accents,
 punctuation, invisible characters and inline mark-up are taken away. Of every window of k-gram hashes the
 smallest is kept as a fingerprint, so two texts that share ``span`` tokens in a row always share a
-fingerprint. Fingerprints of items and documents are joined; each hit is extended in both directions
-over equal tokens and counts if the shared run is long enough. No document's fingerprints leave the
+fingerprint. Fingerprints of items and documents are joined; each hit outside the runs found before it is
+extended in both directions over equal tokens and counts if the shared run is long enough. No document's fingerprints leave the
 executors, and the items' side is broadcast only where its written size is small.
 """
 
@@ -138,9 +138,14 @@ def _extend(unit: Unit):
                 toks, longest = tokens(text, unit.chars), {}
                 for x in hits:
                     b = items.setdefault(x["item_text"], tokens(x["item_text"], unit.chars))
-                    at, n = run_length(toks, b, x["pos"], x["item_pos"])
-                    if n >= unit.span and n > longest.get(x["item"], (0, 0))[1]:
-                        longest[x["item"]] = (at, n)
+                    end = 0
+                    for pos in x["places"]:
+                        if pos < end:  # inside the run of an earlier hit
+                            continue
+                        at, n = run_length(toks, b, pos, pos - x["diagonal"])
+                        end = at + n
+                        if n >= unit.span and n > longest.get(x["item"], (0, 0))[1]:
+                            longest[x["item"]] = (at, n)
                 rows += [(doc, item, n, at) for item, (at, n) in longest.items()]
             yield pd.DataFrame(rows, columns=["_id", "item", "shared", "at"])
 
@@ -160,11 +165,12 @@ def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_k
     item_prints = q.mapInPandas(_fingerprint(unit), f"_id {it}, pos int, h bigint").select(F.col("_id").alias("item"), F.col("pos").alias("item_pos"), "h")
     item_prints = scratch.write(item_prints, f"items_{unit.name}")
     doc_prints = d.mapInPandas(_fingerprint(unit), f"_id {dt}, pos int, h bigint")
-    # of equal hits on one diagonal one is enough
-    hits = doc_prints.join(item_prints, "h").groupBy("_id", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(F.min_by(F.struct("pos", "item_pos"), "pos").alias("p"), F.count("*").alias("n"))
-    hits = scratch.write(hits.select("_id", "item", "p.pos", "p.item_pos"), f"hits_{unit.name}")
+    # all hits of a diagonal, in order: an unequal token parts its runs, and any of them may be the long one
+    diagonal = (F.col("pos") - F.col("item_pos")).alias("diagonal")
+    hits = doc_prints.join(item_prints, "h").groupBy("_id", "item", diagonal).agg(F.sort_array(F.collect_set("pos")).alias("places"))
+    hits = scratch.write(hits, f"hits_{unit.name}")
     full = hits.join(q.select(F.col("_id").alias("item"), F.col("_text").alias("item_text")), "item")
     # hits of one document: at most its own fingerprints times the items that share them
-    grouped = full.groupBy("_id").agg(F.collect_list(F.struct("item", "pos", "item_pos", "item_text")).alias("hits"))
+    grouped = full.groupBy("_id").agg(F.collect_list(F.struct("item", "diagonal", "places", "item_text")).alias("hits"))
     found = d.join(grouped, "_id").mapInPandas(_extend(unit), f"_id {dt}, item {it}, shared int, at int")
     return found.select(F.col("_id").alias(doc_key), F.col("item").alias(item_key), "shared", "at")

@@ -141,6 +141,27 @@ def test_leaks(spark, scratch, unit):
     assert leak.leaks(a.limit(0), "doc_id", "text", b, "item_id", "item_text", unit, scratch).count() == 0
 
 
+@pytest.mark.parametrize("unit", [leak.WORDS, leak.CHARS])
+def test_leaks_with_one_token_replaced(spark, scratch, unit):
+    r = random.Random(5)
+    fresh = iter(range(0x4E00, 0x9000))
+    word = (lambda: chr(next(fresh))) if unit.chars else (lambda: f"w{r.randrange(10**9)}")
+    sep, docs, items = "" if unit.chars else " ", [], []
+    for i in range(40):
+        before, after = r.randrange(unit.gram, unit.span), unit.span + r.randrange(6)
+        toks = [word() for _ in range(before + 1 + after)]
+        items.append((i, sep.join(toks)))
+        docs.append((i, sep.join([word(), *toks[:before], word(), *toks[before + 1 :]]), before + 2, after))
+        # two runs on one diagonal: the longer is the second
+        toks = [word() for _ in range(2 * unit.span + 4)]
+        items.append((100 + i, sep.join(toks)))
+        docs.append((100 + i, sep.join([*toks[: unit.span], word(), *toks[unit.span + 1 :]]), unit.span + 1, unit.span + 3))
+    a = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, item_text string")
+    got = leak.leaks(a, "doc_id", "text", b, "item_id", "item_text", unit, scratch)
+    assert rows(got, "doc_id", "item_id", "at", "shared") == sorted(((d, d, at, n) for d, _, at, n in docs), key=repr)
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 def test_quotas():
     q = mix.quotas({"a": 1000, "b": 50}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 4}, 1000)
