@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -71,6 +71,12 @@ class SchemaGraph:
         return found
 
 
+def parsed(spark: SparkSession, json: str) -> Column:
+    """A text column as a variant, null where it is not JSON. Of the values of a repeated key the last holds."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # else an object with a repeated key counts as invalid
+    return F.try_parse_json(json)
+
+
 def _kind(v: Column) -> Column:
     """OBJECT, ARRAY, STRING, ...; VOID for JSON null."""
     s = F.schema_of_variant(v)

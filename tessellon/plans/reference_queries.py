@@ -697,20 +697,36 @@ def op95_release_difference(spark, d):
 
 # --- exports ---------------------------------------------------------------------------------------
 def _typed_records(spark, d):
-    schema = sinks.COMPENDIUM_SCHEMA.replace("ic DOUBLE", "ic STRING")
-    t = table(spark, d, "compendium_jsonl").select("filename", F.from_json("raw_line", schema).alias("r")).select("filename", "r.*")
-    return t.withColumn("ic", F.col("ic").try_cast("double")).where("identifiers IS NOT NULL")
+    """The compendium lines of both shapes as records of the current shape; what stands for an array is read as in ``nested.shred``."""
+    text = lambda v, *paths: F.coalesce(*[F.try_variant_get(v, p, "string") for p in paths])
+    part = lambda v, name: F.try_variant_get(v, f"$.{name}", "variant")
+    texts = lambda v: F.transform(nested.as_list(v), lambda x: text(x, "$"))
+    listed = lambda name: F.coalesce(nested.as_list(F.col(name)), F.array().cast("array<variant>"))
+    bare = lambda x: F.when(~F.schema_of_variant(x).startswith("OBJECT"), text(x, "$"))
+    member = lambda x: F.struct(
+        F.coalesce(text(x, "$.i", "$.identifier"), bare(x)).alias("i"), text(x, "$.l", "$.label").alias("l"), texts(part(x, "d")).alias("d"), texts(part(x, "t")).alias("t")
+    )
+    t = table(spark, d, "compendium_jsonl").select("filename", nested.parsed(spark, "raw_line").alias("v")).where("v IS NOT NULL")
+    # a step each, so that no variant is taken apart twice
+    t = t.select("filename", "v", *[part("v", x).alias(x) for x in ("identifiers", "equivalent_identifiers")])
+    t = t.select("filename", "v", nested.opened(F.col("identifiers")).alias("now"), nested.opened(F.col("equivalent_identifiers")).alias("legacy"))
+    t = t.select("filename", "v", F.filter(F.concat(listed("now"), listed("legacy")), lambda x: F.schema_of_variant(x) != "VOID").alias("members"))
+    return t.select(
+        "filename",
+        F.get(texts(part("v", "type")), F.lit(0)).alias("type"),
+        text("v", "$.ic").try_cast("double").alias("ic"),
+        F.transform("members", member).alias("identifiers"),
+        text("v", "$.preferred_name", "$.id.label").alias("preferred_name"),
+        texts(part("v", "taxa")).alias("taxa"),
+    )
 
 
 def _exported(spark, d):
     s = Scratch(spark, "op100")
-    sinks.write_tables(sinks.clique_tables(_typed_records(spark, d)), s.root)
+    sinks.write_tables(sinks.clique_tables(s.write(_typed_records(spark, d), "records")), s.root)
     return {n: spark.read.parquet(f"{s.root}/{n}") for n in ("Clique", "Edge", "Node")}
 
 
-
-
-
 @query()
 def op100_exported_cliques(spark, d):
     return _exported(spark, d)["Clique"]

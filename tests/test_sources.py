@@ -6,6 +6,7 @@ import json
 
 import pytest
 
+from tessellon.plans import reference_queries
 from tessellon.sources import domains, parsers, readers, sinks
 
 
@@ -154,3 +155,24 @@ def test_domains(spark):
     m = frame(spark, "clique int, curie string", (1, "HP:1"), (1, "MONDO:1"), (2, "X:1"))
     t = frame(spark, "curie string, type string", ("HP:1", "biolink:PhenotypicFeature"), ("MONDO:1", "biolink:Disease"), ("X:1", "biolink:PhenotypicFeature"))
     assert rows(domains.typed(m, t, "disease"), "clique", "type") == [(1, "biolink:Disease"), (2, "biolink:PhenotypicFeature")]
+
+
+def test_export_reads_every_shape(spark, tmp_path):
+    lines = [
+        '{"type": "biolink:Gene", "ic": "5.5", "identifiers": [{"i": "A:1", "l": "X", "d": ["d"]}, {"i": "B:1"}], "preferred_name": "X"}',
+        '{"id": {"identifier": "C:1", "label": "Y"}, "equivalent_identifiers": [{"identifier": "C:1", "label": "Y"}, {"identifier": "D:1"}], "type": ["biolink:Drug", "biolink:Cell"]}',
+        '{"type": null, "ic": {"a": 1}, "identifiers": "[{\\"i\\": \\"E:1\\", \\"l\\": \\"Z\\"}, \\"F:1\\"]"}',
+        '{"identifiers": {"i": "G:1", "d": "one"}}',
+        '{"identifiers": ["H:1", null, {"i": "I:1"}]}',
+        '{"preferred_name": "J", "preferred_name": "K", "identifiers": "J:1"}',
+        '{"identifiers": []}',
+        '{"identifiers": null}',
+    ]
+    frame(spark, "line_id long, filename string, raw_line string", *[(i, "F", x) for i, x in enumerate(lines)]).write.parquet(str(tmp_path / "compendium_jsonl.parquet"))
+    tables = reference_queries._exported(spark, str(tmp_path))
+    cols = ("clique_leader", "preferred_name", "clique_identifier_count", "biolink_type", "information_content")
+    want = [("A:1", "X", 2, "biolink:Gene", 5.5), ("C:1", "Y", 2, "biolink:Drug", None), ("E:1", None, 2, None, None), ("G:1", None, 1, None, None), ("H:1", None, 2, None, None), ("J:1", "K", 1, None, None)]
+    assert rows(tables["Clique"], *cols) == want
+    edges = [("A:1", "A:1"), ("A:1", "B:1"), ("C:1", "C:1"), ("C:1", "D:1"), ("E:1", "E:1"), ("E:1", "F:1"), ("G:1", "G:1"), ("H:1", "H:1"), ("H:1", "I:1"), ("J:1", "J:1")]
+    assert rows(tables["Edge"], "clique_leader", "curie") == edges
+    assert [tuple(r) for r in tables["Node"].where("description IS NOT NULL").select("curie", "description").orderBy("curie").collect()] == [("A:1", ["d"]), ("G:1", ["one"])]
