@@ -260,7 +260,7 @@ def op12_combined_structures(spark, d):
 
 @query()
 def op14_untyped_cliques(spark, d):
-    return cliques.untyped_cliques(_ids(spark, d).where("type IS NOT NULL"), _concords(spark, d), Scratch(spark, "op14"))
+    return cliques.untyped_cliques(_ids(spark, d), _concords(spark, d), Scratch(spark, "op14"))
 
 
 # --- typing ----------------------------------------------------------------------------------------

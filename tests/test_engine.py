@@ -6,6 +6,7 @@ import pytest
 
 from tessellon.operators import closure, cliques, conflation, nodes, reports, typing
 from tessellon.operators.components import components
+from tessellon.plans import reference_queries
 from tessellon.session import Scratch
 
 
@@ -79,6 +80,14 @@ def test_seed_and_untyped(spark, scratch):
     assert dict(rows(cliques.read_identifiers(ids)[1], "curie", "type")) == {"B:1": "U"}
 
 
+def test_untyped_cliques_of_untyped_ids(spark, tmp_path):
+    ids = [(0, 1, "A:1", "T"), (0, 2, "b:1", None), (0, 3, None, "T")]
+    spark.createDataFrame(ids, "file_seq int, seq long, curie string, biolink_type string").write.parquet(str(tmp_path / "ids.parquet"))
+    spark.createDataFrame([(1, 0, 1, "A:1", "x", "C:1")], "row_id long, file_seq int, seq long, subject string, predicate string, object string").write.parquet(str(tmp_path / "drugchemical.parquet"))
+    got = reference_queries.op14_untyped_cliques(spark, str(tmp_path))
+    assert rows(got, "curie", "clique") == [("A:1", "A:1"), ("B:1", "B:1"), ("C:1", "A:1")]
+
+
 def test_filters(spark):
     p = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), ("c", "z"), ("c", "w")], "subject string, object string")
     assert rows(cliques.overused_xrefs(p), "subject", "object") == [("b", "y"), ("c", "w"), ("c", "z")]
