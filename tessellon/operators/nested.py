@@ -7,11 +7,14 @@ with a table. Rows of a child table carry their record's key, their parent's pos
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessellon.session import Scratch
+
 
 @dataclass(frozen=True)
 class Edge:
@@ -95,6 +98,8 @@ def opened(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", F.coalesce(F.try_parse_json(F.try_variant_get(v, "$", "string")), v)).otherwise(v)
 
 
+#: Levels of a recursive graph between two looks at the data.
+STEP = 16
 _ROW = "struct<element: string, parent_kind: string, parent_pos: int, pos: int, kind: string, v: variant, open: boolean>"
 
 
@@ -112,11 +117,11 @@ def shred_rows(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> DataFr
 
     Each record is parsed once; a level of the graph unfolds the rows of the level before beside themselves.
     """
-    record = F.struct(F.lit(graph.root).alias("element"), F.lit(None).cast("string").alias("parent_kind"), F.lit(-1).alias("parent_pos"), F.lit(-1).alias("pos"), F.lit(graph.root).alias("kind"), F.try_parse_json(json).alias("v"), F.lit(True).alias("open"))
+    record = F.struct(F.lit(graph.root).alias("element"), F.lit(None).cast("string").alias("parent_kind"), F.lit(-1).alias("parent_pos"), F.lit(-1).alias("pos"), F.lit(graph.root).alias("kind"), parsed(df.sparkSession, json).alias("v"), F.lit(True).alias("open"))
     rows = df.select(F.col(key).alias("_key"), record.alias("x")).where("x.v IS NOT NULL")
     holders = {x for x in graph.tables() if _held(graph, x)}
-    at = {graph.root}
-    for _ in range(16):
+    at, scratch = {graph.root}, Scratch(df.sparkSession, "shred") if graph.recursive() else None
+    for level in itertools.count(1):
         held = [(element, e) for element in sorted(at & holders) for e in _held(graph, element)]
         if not held:
             break
@@ -130,6 +135,10 @@ def shred_rows(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> DataFr
         itself = F.array(F.col("x").withField("open", F.lit(False)).cast(_ROW))
         rows = rows.select("_key", F.explode(F.concat(itself, *lists)).alias("x"))
         at = {e.child for _, e in held}
+        if scratch and level % STEP == 0:  # the data say how deep a recursive element goes
+            rows = scratch.write(rows, f"level_{level}")
+            if rows.where(F.col("x.open") & F.col("x.element").isin(*holders)).isEmpty():
+                break
     return rows
 
 
@@ -140,7 +149,7 @@ def shred(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> dict[str, D
     (element that holds the row), ``parent_pos`` (place of the parent among its own siblings, -1 for the
     record), ``pos`` (place in the array, nulls counted), ``kind``, ``value`` (text, of a scalar) and the
     inlined leaves. Null gives no row. Rows whose JSON is null or invalid give none; columns other than the
-    two are ignored, so clashing names do no harm. Recursive elements are followed to a depth of 16.
+    two are ignored, so clashing names do no harm. Recursive elements are followed as deep as they go.
     """
     rows, out = shred_rows(df, key, json, graph), {}
     for element in graph.tables():

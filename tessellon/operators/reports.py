@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessellon.functions.curie import prefix
+from tessellon.operators.nested import parsed
 
 SEP = "||"
 
@@ -159,15 +161,15 @@ def combined_metadata(name: str, parts: list[dict], **facts) -> str:
 
 def flatten_counters(lines: DataFrame, json_col: str) -> DataFrame:
     """path, n: the leaves of nested JSON counters, keys joined by dots. Arrays and text are no counters."""
-    step = lines.select(F.lit("").alias("path"), F.try_parse_json(json_col).alias("v")).where("v IS NOT NULL")
+    step = lines.select(F.lit("").alias("path"), parsed(lines.sparkSession, json_col).alias("v")).where("v IS NOT NULL")
     out = None
-    for _ in range(16):
+    for level in itertools.count():
         inner = step.where(F.schema_of_variant("v").startswith("OBJECT")).select("path", F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("k", "v"))
         inner = inner.select(F.when(F.col("path") == "", F.col("k")).otherwise(F.concat_ws(".", "path", "k")).alias("path"), "v")
         leaves = inner.where(~F.schema_of_variant("v").startswith("OBJECT")).select("path", F.try_variant_get("v", "$", "bigint").alias("n")).where("n IS NOT NULL")
         out = leaves if out is None else out.unionByName(leaves)
         step = inner
-        if _ > 4 and step.isEmpty():
+        if level > 4 and step.isEmpty():
             break
     return out
 

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessellon.functions.curie import plain_curie, plain_value
-from tessellon.operators import badrows, nested, orphans, skew, snapshots
+from tessellon.operators import badrows, nested, orphans, reports, skew, snapshots
 from tessellon.plans.data_queries import NUMERIC
 
 
@@ -25,6 +25,17 @@ def test_curies(spark):
 
 
 # --- nested ----------------------------------------------------------------------------------------
+def test_recursive_elements_to_any_depth(spark):
+    graph = nested.SchemaGraph("record", [nested.Edge("record", "part", "part", True), nested.Edge("part", "part", "part", True), nested.Edge("part", "n", "n")])
+    deep, line = 35, "{}"
+    for n in reversed(range(deep)):
+        line = f'{{"n": {n}, "part": [{line}]}}' if n < deep - 1 else f'{{"n": {n}}}'
+    df = spark.createDataFrame([(1, f'{{"part": [{line}]}}'), (2, '{"part": {"n": 0}, "part": {"n": 1}}')], "k int, j string")
+    assert rows(nested.shred(df, "k", "j", graph)["part"], "k", "n") == sorted([*((1, str(n)) for n in range(deep)), (2, "1")], key=repr)
+    counters = spark.createDataFrame([('{"a":' * 20 + "7" + "}" * 20,)], "j string")
+    assert rows(reports.flatten_counters(counters, "j"), "path", "n") == [(".".join("a" * 20), 7)]
+
+
 def test_schema_graph():
     g = nested.COMPENDIUM
     assert g.tables() == ["record", "type", "taxon", "description", "identifier"]
