@@ -79,10 +79,7 @@ def p6_fused(spark: SparkSession, d: str) -> DataFrame:
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     docs, items = table(spark, d, "documents"), table(spark, d, "eval_items")
-    zh = F.coalesce(F.lower(F.trim("lang")).startswith("zh"), F.lit(False))
-    scratch = Scratch(spark, "p8")
-    args = lambda rows, unit: (docs, "doc_id", "text", rows, "item_id", "item_text", unit, scratch)
-    return leak.leaks(*args(items.where(~zh), leak.WORDS)).unionByName(leak.leaks(*args(items.where(zh), leak.CHARS)))
+    return leak.leaks(docs, "doc_id", "text", items, "item_id", "item_text", Scratch(spark, "p8"), F.lower(F.trim("lang")).startswith("zh"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -132,4 +129,21 @@ LEFT JOIN names ON names.leader = g.leader LEFT JOIN ics ON ics.leader = g.leade
 P1_FOUND = _COMP + " SELECT curie, clique AS group_id FROM comp"
 P1_SIZES = _COMP + " SELECT members, count(*) AS groups FROM (SELECT clique, count(*) AS members FROM comp GROUP BY clique) GROUP BY members"
 
-SQL = {"p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p6_found": P6_FOUND}
+_BLOCK, _TAG = leak.BLOCK_TAG, leak.TAG
+
+
+def _words(c: str) -> str:
+    clean = f"regexp_replace(regexp_replace({c}, '{_BLOCK}', ' ', 'gi'), '{_TAG}', '', 'gs')"
+    return f"regexp_extract_all(regexp_replace(lower(strip_accents(regexp_replace({clean}, '[*_]', '', 'g'))), '[\\p{{Mn}}\\p{{Me}}\\p{{Cf}}]', '', 'g'), '[\\p{{L}}\\p{{N}}]+')"
+
+
+P8_FOUND = f"""WITH i0 AS (SELECT item_id, coalesce(starts_with(lower(trim(lang)), 'zh'), false) AS zh, {_words('item_text')} AS w FROM eval_items WHERE item_text IS NOT NULL),
+d0 AS (SELECT doc_id, {_words('text')} AS w FROM documents WHERE text IS NOT NULL),
+it AS (SELECT item_id, zh, CASE WHEN zh THEN string_split(array_to_string(w, ''), '') ELSE w END AS t FROM i0),
+dt AS (SELECT doc_id, false AS zh, w AS t FROM d0 UNION ALL SELECT doc_id, true, string_split(array_to_string(w, ''), '') FROM d0),
+span AS (SELECT * FROM (VALUES (false, {leak.WORDS.span}), (true, {leak.CHARS.span})) s(zh, n)),
+ig AS (SELECT DISTINCT item_id, zh, array_to_string(list_slice(t, k, k + n - 1), ' ') AS g FROM (SELECT item_id, zh, t, n, unnest(range(1, len(t) - n + 2)) AS k FROM it JOIN span USING (zh))),
+dg AS (SELECT DISTINCT doc_id, zh, array_to_string(list_slice(t, k, k + n - 1), ' ') AS g FROM (SELECT doc_id, zh, t, n, unnest(range(1, len(t) - n + 2)) AS k FROM dt JOIN span USING (zh)))
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (zh, g)"""
+
+SQL = {"p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p6_found": P6_FOUND, "p8_found": P8_FOUND}

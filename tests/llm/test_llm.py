@@ -136,9 +136,9 @@ def test_leaks(spark, scratch, unit):
             if any(tuple(q[k : k + unit.span]) in grams for k in range(len(q) - unit.span + 1)):
                 want.add((d, i))
     a, b = spark.createDataFrame(docs, "doc_id long, text string, pos int"), spark.createDataFrame(items, "item_id long, item_text string, text string")
-    got = leak.leaks(a, "doc_id", "text", b, "item_id", "item_text", unit, scratch)
+    got = leak.leaks(a, "doc_id", "text", b, "item_id", "item_text", scratch, F.lit(unit.chars))
     assert rows(got, "doc_id", "item_id") == sorted(want, key=repr) and len(want) > 30
-    assert leak.leaks(a.limit(0), "doc_id", "text", b, "item_id", "item_text", unit, scratch).count() == 0
+    assert leak.leaks(a.limit(0), "doc_id", "text", b, "item_id", "item_text", scratch, F.lit(unit.chars)).count() == 0
 
 
 @pytest.mark.parametrize("unit", [leak.WORDS, leak.CHARS])
@@ -158,7 +158,7 @@ def test_leaks_with_one_token_replaced(spark, scratch, unit):
         docs.append((100 + i, sep.join([*toks[: unit.span], word(), *toks[unit.span + 1 :]]), unit.span + 1, unit.span + 3))
     a = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, item_text string")
-    got = leak.leaks(a, "doc_id", "text", b, "item_id", "item_text", unit, scratch)
+    got = leak.leaks(a, "doc_id", "text", b, "item_id", "item_text", scratch, F.lit(unit.chars))
     assert rows(got, "doc_id", "item_id", "at", "shared") == sorted(((d, d, at, n) for d, _, at, n in docs), key=repr)
 
 
