@@ -49,11 +49,11 @@ def graph(kind):
     return [(f"v{r.randrange(n)}", f"v{r.randrange(n)}") for _ in range(200)] + [("v1", "v1"), (None, "v2"), ("lone", None), (None, None), ("v3", "v4"), ("v4", "v3"), ("v3", "v4")]
 
 
-@pytest.mark.parametrize("kind,degree", [("path", 50_000), ("star", 20), ("random", 3)])
-def test_groups(spark, scratch, kind, degree):
+@pytest.mark.parametrize("kind,degree,forest", [("path", 50_000, 0), ("path", 50_000, 100), ("star", 20, 0), ("star", 20, 10_000), ("random", 3, 0), ("random", 3, 20)])
+def test_groups(spark, scratch, kind, degree, forest):
     links, members = graph(kind), ["alone", "v1", None, "alone"]
     df = spark.createDataFrame([(a, b, "x") for a, b in links], "left string, right string, root string")
-    got = rows(groups.groups(df, spark.createDataFrame([(m,) for m in members], "member string"), scratch, degree), "member", "group_id")
+    got = rows(groups.groups(df, spark.createDataFrame([(m,) for m in members], "member string"), scratch, degree, forest), "member", "group_id")
     assert got == sorted(union_find(links, members).items(), key=repr)
 
 
@@ -63,12 +63,19 @@ def test_groups_empty(spark, scratch):
 
 
 def test_clusters_are_connected(spark):
-    """The growth of one level: every cluster is connected through its own members."""
+    """The growth of one level: every cluster is connected through its own members, and each vertex lies in the cluster that reaches it first."""
     r = random.Random(5)
     edges = {tuple(sorted(r.sample(range(120), 2))) for _ in range(150)}
-    got = dict(rows(groups._grow(spark.createDataFrame(list(edges), "a long, b long"), 0), "v", "c"))
+    df = spark.createDataFrame(list(edges), "a long, b long")
+    got = dict(rows(groups._grow(df, groups._ends(df), 0), "v", "c"))
     inside = union_find([(a, b) for a, b in edges if got[a] == got[b]], got)
     assert len({inside[v] for v in got}) == len(set(got.values())) < len(got)
+    best = {x["v"]: (x["s"], x["v"]) for x in groups._ends(df).select("v", groups._shift(F.col("v"), 0).alias("s")).collect()}
+    for _ in range(groups.MAX_SHIFT):
+        sent = [(v, best[u]) for a, b in edges for u, v in ((a, b), (b, a)) if best[u][0]]
+        for v, (s, c) in sent:
+            best[v] = max(best[v], (s - 1, c))
+    assert got == {v: c for v, (_, c) in best.items()}
 
 
 # --- survivors -------------------------------------------------------------------------------------
