@@ -1,27 +1,28 @@
 """Rows that fail to parse, set apart with the reason, by a minimum-cost error parse.
 
-A line is read by a small automaton over tabs, quotes and runs of other characters. A line whose
-zero-cost reading has the right number of columns and valid values loads. For any other line dynamic
-programming finds the fewest insertions and deletions of quotes and tabs that make it readable; these
-edits are given beside the reason. Lines without quotes and with the right number of tabs are read inside
-the JVM; only the rest goes to Python, in Arrow batches.
+A line is read by a small automaton over tabs, quotes and runs of other characters. Dynamic programming over
+its states and columns finds the cheapest parse; its operations are, dearest first:
+
+- ``insert`` or ``delete`` of a quote or tab inside the line: its quoting is broken;
+- ``append`` of a missing column or ``drop`` of a surplus one at the end: its number of columns is wrong;
+- ``reject`` of a value that its column's type does not allow.
+
+A parse without operations loads; else the dearest kind among them states the reason. Among equally cheap
+repairs the one whose fields fit their types is taken. Lines without quotes and with the right number of tabs
+have one parse free of the first two kinds, so for them the JVM splits at the tabs; only the rest goes to
+Python, in Arrow batches, and the lines are scanned once.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
-from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessellon.functions.curie import WS_CLASS, not_blank
 
-if TYPE_CHECKING:
-    import pandas as pd
-
 _START, _PLAIN, _QUOTED, _CLOSED = range(4)
 _NAMES = {"T": "tab", "Q": "quote"}
 
@@ -55,81 +56,99 @@ def symbols(line: str) -> list[tuple[str, int, str]]:
     return [({"\t": "T", '"': "Q"}.get(m.group(), "X"), m.start(), m.group()) for m in re.finditer(r'[^\t"]+|\t|"', line)]
 
 
-def strict_fields(line: str) -> list[str] | None:
-    """Fields of a line read at no cost; None where quotes are broken."""
-    if '"' not in line:
-        return line.split("\t")
-    state, fields, now = _START, [], []
-    for kind, _, text in symbols(line):
-        to = _step(state, kind)
+_CURIE = re.compile(f"[^:{WS_CLASS}]+:[^{WS_CLASS}]+")
+_FITS = {"curie": lambda x: _CURIE.fullmatch(x) is not None, "text": lambda x: any(c.isalnum() for c in x), "url": lambda x: x == "" or re.fullmatch(r"https?://\S*", x) is not None}
+
+
+class _Cell:
+    """The cheapest way to a state and column: cost (inside, end, misfits, tabs), the field read so far, fields, operations."""
+
+    __slots__ = ("cost", "now", "fields", "path")
+
+    def __init__(self, cost: tuple[int, int, int, int], now: tuple, fields: tuple, path: tuple):
+        self.cost, self.now, self.fields, self.path = cost, now, fields, path
+
+
+def error_parse(line: str, checks: tuple[str, ...]) -> tuple[list[str] | None, str | None, list[str]]:
+    """(fields, reason, operations) of the cheapest parse into as many columns as there are ``checks``; fields are null
+    where there is a reason. O(symbols * columns). Surplus columns are held in one state past the last column."""
+    width = len(checks)
+    cells = {(_START, 0): _Cell((0, 0, 0, 0), (), (), ())}
+
+    def moved(cell: _Cell, state: int, n: int, symbol: str, text: str) -> tuple[tuple[int, int], _Cell] | None:
+        to = _step(state, symbol)
         if to is None:
             return None
-        if to[1]:
-            fields.append("".join(now))
-            now = []
-        elif not (kind == "Q" and (state == _START or to[0] == _CLOSED)):
-            now.append(text)
-        state = to[0]
-    return None if state == _QUOTED else [*fields, "".join(now)]
-
-
-def cheapest_edits(line: str, columns: int) -> list[str]:
-    """Fewest edits of quotes and tabs after which the line reads as ``columns`` fields; among equally
-    few, those with fewest tab edits. O(symbols * columns)."""
-    syms = symbols(line)
-    best: dict[tuple[int, int], tuple[int, int, tuple]] = {(_START, 0): (0, 0, ())}
-
-    def relax(table: dict, key: tuple[int, int], cost: tuple) -> bool:
-        if key[1] >= columns or (key in table and table[key][:2] <= cost[:2]):
+        inside, end, misfits, tabs = cell.cost
+        if not to[1]:
+            mute = symbol == "Q" and (state == _START or to[0] == _CLOSED)  # an enclosing quote, or the first of two
+            return (to[0], n), _Cell(cell.cost, cell.now if mute else (cell.now, text), cell.fields, cell.path)
+        if n < width:
+            misfits += not _FITS.get(checks[n], _any)(_joined(cell.now))
+        surplus = n + 1 >= width
+        path = (cell.path, "drop column") if surplus else cell.path
+        return (to[0], min(n + 1, width)), _Cell((inside, end + surplus, misfits, tabs), (), (cell.fields, cell.now), path)
+
+    def relax(table: dict, found: tuple[tuple[int, int], _Cell] | None) -> bool:
+        if found is None or (found[0] in table and table[found[0]].cost <= found[1].cost):
             return False
-        table[key] = cost
+        table[found[0]] = found[1]
         return True
 
+    def edited(cell: _Cell, what: str, symbol: str, at: int) -> _Cell:
+        inside, end, misfits, tabs = cell.cost
+        return _Cell((inside + 1, end, misfits, tabs + (symbol == "T")), cell.now, cell.fields, (cell.path, f"{what} {_NAMES[symbol]} at {at}"))
+
     def insertions(table: dict, at: int) -> None:
         todo = list(table)
         while todo:
             state, n = todo.pop()
-            edits, tabs, path = table[state, n]
-            for kind in "QT":
-                to = _step(state, kind)
-                if to and relax(table, (to[0], n + to[1]), (edits + 1, tabs + (kind == "T"), (path, ("insert", kind, at)))):
-                    todo.append((to[0], n + to[1]))
-
-    for kind, at, _ in syms:
-        insertions(best, at)
+            for symbol, text in (("Q", '"'), ("T", "\t")):
+                found = moved(edited(table[state, n], "insert", symbol, at), state, n, symbol, text)
+                if relax(table, found):
+                    todo.append(found[0])
+
+    for symbol, at, text in symbols(line):
+        insertions(cells, at)
         nxt: dict = {}
-        for (state, n), (edits, tabs, path) in best.items():
-            to = _step(state, kind)
-            if to:
-                relax(nxt, (to[0], n + to[1]), (edits, tabs, path))
-            if kind != "X":
-                relax(nxt, (state, n), (edits + 1, tabs + (kind == "T"), (path, ("delete", kind, at))))
-        best = nxt
-    insertions(best, len(line))
-    ends = [best[s, columns - 1] for s in (_START, _PLAIN, _CLOSED) if (s, columns - 1) in best]
-    path, found = min(ends, key=lambda c: c[:2])[2], []
+        for (state, n), cell in cells.items():
+            relax(nxt, moved(cell, state, n, symbol, text))
+            if symbol != "X":
+                relax(nxt, ((state, n), edited(cell, "delete", symbol, at)))
+        cells = nxt
+    insertions(cells, len(line))
+    ends = []
+    for (state, n), cell in cells.items():
+        if state != _QUOTED:
+            missing = max(0, width - 1 - n)
+            inside, end, misfits, tabs = cell.cost
+            misfits += n < width and not _FITS.get(checks[n], _any)(_joined(cell.now))
+            ends.append(((inside, end + missing, misfits, tabs), n, state, missing, cell))
+    (inside, end, _, _), _, _, missing, cell = min(ends, key=lambda e: e[:3])
+    path, operations = cell.path, []
     while path:
-        path, (what, kind, at) = path
-        found.append(f"{what} {_NAMES[kind]} at {at}")
-    return found[::-1]
+        path, what = path
+        operations.append(what)
+    operations = operations[::-1] + ["append column"] * missing
+    if inside or end:
+        return None, "quoting" if inside else "column_count", operations
+    fields, chain = [_joined(cell.now)], cell.fields
+    while chain:
+        chain, now = chain
+        fields.append(_joined(now))
+    return fields[::-1], None, []
 
 
-def _reader(columns: dict[str, int]):
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pandas as pd
+def _any(_: str) -> bool:
+    return True
 
-        for pdf in batches:
-            fields, reasons, edits = [], [], []
-            for kind, line in zip(pdf["_kind"], pdf["_line"]):
-                n = columns[kind]
-                got = strict_fields(line)
-                reason = "quoting" if got is None else "column_count" if len(got) != n else None
-                fields.append(got if reason is None else None)
-                reasons.append(reason)
-                edits.append(cheapest_edits(line, n) if reason else [])
-            yield pd.DataFrame({"_id": pdf["_id"], "_kind": pdf["_kind"], "_fields": fields, "reason": reasons, "edits": edits})
 
-    return read
+def _joined(now: tuple) -> str:
+    out = []
+    while now:
+        now, text = now
+        out.append(text)
+    return "".join(out[::-1])
 
 
 def _valid(check: str, c: Column) -> Column:
@@ -156,31 +175,28 @@ def parse_lines(df: DataFrame, known: DataFrame, kinds: tuple[LineKind, ...] = (
     name = F.col("filename")
     kind = F.coalesce(*[F.when((name == k.name) | name.startswith(f"{k.name}/") | (name == f"{k.name}.tsv"), k.name) for k in kinds], F.lit(""))
     rows = df.where(not_blank("raw_line") & ~F.col("raw_line").startswith("#")).select(F.col("line_id").alias("_id"), kind.alias("_kind"), line.alias("_line"))
-    tabs = F.coalesce(*[F.when(F.col("_kind") == k.name, F.lit(len(k.columns))) for k in kinds], F.lit(0))
-    easy = ~F.col("_line").contains('"') & (F.regexp_count("_line", F.lit("\t")) + 1 == tabs)
-    no_edit = F.array().cast("array<string>")
-    quick = rows.where(easy).select("_id", "_kind", F.split("_line", "\t", -1).alias("_fields"), F.lit(None).cast("string").alias("reason"), no_edit.alias("edits"))
-    schema = "_id long, _kind string, _fields array<string>, reason string, edits array<string>"
-    slow = rows.where(~easy & (F.col("_kind") != "")).mapInPandas(_reader({k.name: len(k.columns) for k in kinds}), schema)
-    lost = rows.where(F.col("_kind") == "").select("_id", "_kind", F.lit(None).cast("array<string>").alias("_fields"), F.lit("unknown_file").alias("reason"), no_edit.alias("edits"))
+    width = F.coalesce(*[F.when(F.col("_kind") == k.name, F.lit(len(k.columns))) for k in kinds], F.lit(0))
+    easy = ~F.col("_line").contains('"') & (F.regexp_count("_line", F.lit("\t")) + 1 == width)
+    checks = {k.name: tuple(c for _, c in k.columns) for k in kinds}
+
+    @F.udf("struct<fields: array<string>, reason: string, edits: array<string>>", useArrow=True)
+    def parse(kind: str | None, line: str | None):
+        return None if line is None else error_parse(line, checks[kind])
+
+    hard = ~F.col("_easy") & (F.col("_kind") != "")
+    rows = rows.withColumn("_easy", easy)
+    rows = rows.withColumn("_hard", parse(F.when(hard, F.col("_kind")), F.when(hard, F.col("_line"))))
+    fields = F.when(F.col("_easy"), F.split("_line", "\t", -1)).otherwise(F.col("_hard.fields"))
+    reason = F.when(F.col("_kind") == "", "unknown_file").otherwise(F.col("_hard.reason"))
+    rows = rows.select("_id", "_kind", fields.alias("_fields"), reason.alias("reason"), F.coalesce("_hard.edits", F.array().cast("array<string>")).alias("edits"))
     place = {k.name: next((i for i, (_, c) in enumerate(k.columns) if c == "predicate"), None) for k in kinds}
     predicate = F.coalesce(*[F.when(F.col("_kind") == n, F.get("_fields", F.lit(i))) for n, i in place.items() if i is not None], F.lit(None).cast("string"))
     allowed = known.select(F.col("filename").alias("_kind"), F.col("predicate").alias("_predicate")).distinct().withColumn("_known", F.lit(True))
-    checked = quick.unionByName(slow).withColumn("_predicate", predicate).join(allowed, ["_kind", "_predicate"], "left")
-    good = F.coalesce(
-        *[F.when(F.col("_kind") == k.name, _all([_valid(c, F.get("_fields", F.lit(i))) for i, (_, c) in enumerate(k.columns)])) for k in kinds],
-        F.lit(True),
-    )
-    reason = F.coalesce("reason", F.when(F.col("_fields").isNotNull() & ~good, "invalid_value"))
-    done = checked.select("_id", "_kind", "_fields", reason.alias("reason"), "edits").unionByName(lost)
-    return done.select(F.col("_id").alias("line_id"), F.col("_kind").alias("kind"), F.col("_fields").alias("fields"), "reason", "edits")
-
-
-def _all(checks: list[Column]) -> Column:
-    out = checks[0]
-    for c in checks[1:]:
-        out = out & c
-    return out
+    checked = rows.withColumn("_predicate", predicate).join(allowed, ["_kind", "_predicate"], "left")
+    misfits = [F.when((F.col("_kind") == k.name) & ~_valid(c, F.get("_fields", F.lit(i))), F.lit(f"reject {n}")) for k in kinds for i, (n, c) in enumerate(k.columns)]
+    checked = checked.withColumn("_rejected", F.when(F.col("_fields").isNotNull(), F.array_compact(F.array(*misfits))).otherwise(F.array().cast("array<string>")))
+    reason = F.coalesce("reason", F.when(F.size("_rejected") > 0, "invalid_value"))
+    return checked.select(F.col("_id").alias("line_id"), F.col("_kind").alias("kind"), F.col("_fields").alias("fields"), reason.alias("reason"), F.concat("edits", "_rejected").alias("edits"))
 
 
 def valid_rows(parsed: DataFrame, kind: LineKind) -> DataFrame:

@@ -3,7 +3,8 @@
 References and parents are co-partitioned by key and sorted by (key, time); one running maximum of the
 parents' ends over the sorted stream tells whether a parent covers a reference. A key with many rows is
 cut along time into chunks of bounded load; each chunk starts from a header that carries the summary of
-the chunks before it, so no key is ever one task's work and no parent row is copied.
+the chunks before it, so no key is ever one task's work. Where very many references of a key have the same
+time, their chunk is parted again by a hash of the reference, and the parents of that time go to every part.
 """
 
 from __future__ import annotations
@@ -11,38 +12,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessellon.functions.curie import once
 from tessellon.session import Scratch
 
 #: Rows of one key that stay in one piece.
 CHUNK_ROWS = 200_000
+#: Parts that references without a key are spread over.
+_KEYLESS = 65_536
+_GROUPS = 65_536
 _FOREVER = "9999-12-31 23:59:59.999999"
 
 
-def _with_chunk(df: DataFrame, hot: dict[object, list]) -> DataFrame:
-    """Adds _chunk by the cut points of a hot key; 0 for all other keys. The table broadcast has 1000 rows at most."""
-    if not hot:
-        return df.withColumn("_chunk", F.lit(0))
-    cuts = df.sparkSession.createDataFrame(list(hot.items()), f"_hot {df.schema['_key'].dataType.simpleString()}, _cuts array<timestamp_ntz>")
-    out = df.join(F.broadcast(cuts), F.col("_key") == F.col("_hot"), "left")
-    return out.withColumn("_chunk", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_ts"))), F.lit(0))).drop("_hot", "_cuts")
+def _cuts(stream: DataFrame, scratch: Scratch, chunk_rows: int) -> DataFrame | None:
+    """_key and the times at which to cut it, of each key with over ``chunk_rows`` rows; None where there is none.
 
-
-def hot_keys(stream: DataFrame, chunk_rows: int, rows: int) -> dict[object, list]:
-    """Keys with over ``chunk_rows`` rows and the times at which to cut them. At most rows/chunk_rows
-    keys have so many; ``chunk_rows`` is raised so that these are 1000 at most."""
-    limit = max(chunk_rows, rows // 1000)
-    top = stream.groupBy("_key").agg(F.count("*").alias("n")).where(F.col("n") > limit)
-    counts = {r["_key"]: r["n"] for r in top.collect()}
-    if not counts:
-        return {}
-    cut = stream.where(F.col("_key").isin(*counts)).groupBy("_key").agg(
-        F.percentile_approx(F.col("_ts").cast("timestamp_ltz").cast("double"), [i / 64 for i in range(1, 64)], 1000).alias("q")
-    )
-    found = {}
-    for r in cut.select("_key", F.transform("q", lambda x: F.timestamp_micros((x * 1_000_000).cast("bigint")).cast("timestamp_ntz")).alias("q")).collect():
-        parts = min(64, -(-counts[r["_key"]] // limit))
-        found[r["_key"]] = sorted({r["q"][max(0, min(62, 64 * i // parts - 1))] for i in range(1, parts)})
-    return found
+    Sums over a fixed number of hashed groups of keys rule most inputs out before any key is counted. There are
+    as many cuts as the rows need; the table grows with the rows (one cut in ``chunk_rows``) and is joined as any other.
+    """
+    keys = stream.where("_key IS NOT NULL").select("_key", "_ts")
+    groups = keys.groupBy(F.pmod(F.xxhash64("_key"), F.lit(_GROUPS)).alias("_g")).agg(F.count("*").alias("n"))
+    if (groups.agg(F.max("n")).first()[0] or 0) <= chunk_rows:
+        return None
+    hot = scratch.write(keys.groupBy("_key").agg(F.count("*").alias("n")).where(F.col("n") > chunk_rows), "hot")
+    most = hot.agg(F.max("n")).first()[0]
+    if most is None:
+        return None
+    parts = -(-most // chunk_rows)
+    own = F.ceil(F.first("n") / chunk_rows)
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), "_ts")
+    every = F.percentile_approx(micros, [i / parts for i in range(1, parts)] or [0.5], max(10_000, 4 * parts))
+    cuts = keys.join(hot, "_key").groupBy("_key").agg(every.alias("q"), own.alias("own"))
+    mine = F.array_sort(F.array_distinct(F.filter("q", lambda x, i: F.pmod((i + 1) * F.col("own"), F.lit(parts)) < F.col("own"))))
+    times = F.transform(F.coalesce(mine, F.array().cast("array<bigint>")), lambda x: F.timestamp_add("MICROSECOND", x, F.lit("1970-01-01").cast("timestamp_ntz")))
+    return scratch.write(cuts.select("_key", times.alias("_cuts")), "cuts")
 
 
 def orphans(refs: DataFrame, parents: DataFrame, scratch: Scratch, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -54,44 +56,42 @@ def orphans(refs: DataFrame, parents: DataFrame, scratch: Scratch, chunk_rows: i
     lists its key but covers nothing. Empty parents make all references missing.
     """
     payload = [c for c in refs.columns if c not in ("_key", "_ts")]
-    forever = F.lit(_FOREVER).cast("timestamp_ntz")
-    p = parents.where(F.col("_key").isNotNull()).select("_key", F.col("_start").alias("_ts"), F.coalesce("_end", forever).alias("_end"))
-    keyless = refs.where(F.col("_key").isNull()).select(*payload, F.lit("missing").alias("orphan_state"))
-    r = refs.where(F.col("_key").isNotNull())
-    no_end = F.lit(None).cast("timestamp_ntz")
-    empty = [F.lit(None).cast(refs.schema[c].dataType).alias(c) for c in payload]
-    # kind 0: header, 1: parent, 2: reference; at equal times in this order
-    stream = (
-        p.where(F.col("_ts").isNotNull()).select("_key", "_ts", F.lit(1).alias("_kind"), "_end", no_end.alias("_last"), F.lit(True).alias("_listed"), *empty)
-    ).unionByName(r.select("_key", "_ts", F.lit(2).alias("_kind"), no_end.alias("_end"), no_end.alias("_last"), F.lit(None).cast("boolean").alias("_listed"), *payload))
-    hot = _find_hot(r, p, chunk_rows)
-    stream = _with_chunk(stream, hot)
+    none = lambda t: F.lit(None).cast(t)
+    end = F.coalesce("_end", F.lit(_FOREVER).cast("timestamp_ntz")).alias("_end")
+    p = once(parents.select("_key", F.col("_start").alias("_ts"), end)).where("_key IS NOT NULL")
+    r = once(refs.select("_key", "_ts", *payload))
+    empty = [none(refs.schema[c].dataType).alias(c) for c in payload]
+    own = [F.col(c) for c in payload]
+    # _kind 0: header, 1: parent, 2: reference; at equal times in this order
+    rows = lambda df, kind, e, last, listed, values: df.select("_key", "_ts", F.lit(kind).alias("_kind"), e.alias("_end"), last.alias("_last"), listed.alias("_listed"), *values)
+    stream = rows(p.where("_ts IS NOT NULL"), 1, F.col("_end"), none("timestamp_ntz"), F.lit(True), empty)
+    stream = stream.unionByName(rows(r, 2, none("timestamp_ntz"), none("timestamp_ntz"), none("boolean"), own))
     heads = p.groupBy("_key").agg(F.max("_ts").alias("_last"))
-    heads = heads.select("_key", F.lit(None).cast("timestamp_ntz").alias("_ts"), F.lit(0).alias("_kind"), no_end.alias("_end"), "_last", F.lit(True).alias("_listed"), *empty)
-    if hot:
-        last = refs.sparkSession.createDataFrame([(k, len(c)) for k, c in hot.items()], f"_key {refs.schema['_key'].dataType.simpleString()}, _chunks int")
-        heads = heads.join(F.broadcast(last), "_key", "left").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.coalesce("_chunks", F.lit(0))))).drop("_chunks")
-        # summary of earlier chunks: at most (chunks of hot keys) rows, a bounded table
-        ends = stream.where((F.col("_kind") == 1) & F.col("_key").isin(*hot)).groupBy("_key", "_chunk").agg(F.max("_end").alias("_e"))
-        before = ends.withColumn("_chunk", F.explode(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda c: c > F.col("_chunk")))).groupBy("_key", "_chunk").agg(F.max("_e").alias("_e"))
-        heads = heads.drop("_end").join(F.broadcast(before), ["_key", "_chunk"], "left").withColumnRenamed("_e", "_end")
+    spread = F.pmod(F.xxhash64(*payload), F.lit(_KEYLESS)).cast("int") if payload else F.lit(0)
+    cuts = _cuts(stream, scratch, chunk_rows)
+    if cuts is None:
+        # null keys find no header: they are missing, wherever they lie
+        stream = stream.withColumns({"_chunk": F.lit(0), "_part": F.when(F.col("_key").isNull(), spread).otherwise(0)})
+        heads = rows(heads.withColumn("_ts", none("timestamp_ntz")), 0, none("timestamp_ntz"), F.col("_last"), F.lit(True), empty).withColumns({"_chunk": F.lit(0), "_part": F.lit(0)})
     else:
-        heads = heads.withColumn("_chunk", F.lit(0))
-    w = Window.partitionBy("_key", "_chunk").orderBy(F.col("_kind") > 0, "_ts", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        at = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_ts"))), F.lit(0))
+        stream = stream.join(cuts, "_key", "left").withColumn("_chunk", F.when(F.col("_cuts").isNotNull(), at).otherwise(0)).drop("_cuts")
+        load = stream.join(cuts.select("_key"), "_key", "left_semi").groupBy("_key", "_chunk").agg(F.max("_end").alias("_e"), F.sum(F.when(F.col("_kind") == 2, 1).otherwise(0)).alias("n"))
+        load = scratch.write(load, "load")  # a row per chunk of a hot key
+        piles = load.where(F.col("n") > 2 * chunk_rows).select("_key", "_chunk", F.ceil(F.col("n") / chunk_rows).cast("int").alias("_parts"))
+        stream = stream.join(piles, ["_key", "_chunk"], "left")
+        mine = F.when(F.col("_kind") == 2, F.array(F.pmod(F.xxhash64(*payload), F.col("_parts")).cast("int") if payload else F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_parts") - 1))
+        lone = F.array(F.when(F.col("_key").isNull(), spread).otherwise(0))
+        stream = stream.withColumn("_part", F.explode(F.when(F.col("_parts").isNotNull(), mine).otherwise(lone))).drop("_parts")
+        before = F.max("_e").over(Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))  # a row per chunk
+        whole = cuts.select("_key", F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("_chunk")).join(load, ["_key", "_chunk"], "left").select("_key", "_chunk", before.alias("_e"))
+        heads = heads.join(whole, "_key", "left").withColumn("_chunk", F.coalesce("_chunk", F.lit(0))).join(piles, ["_key", "_chunk"], "left")
+        heads = heads.withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).withColumn("_ts", none("timestamp_ntz"))
+        heads = heads.select("_key", "_ts", F.lit(0).alias("_kind"), F.col("_e").alias("_end"), "_last", F.lit(True).alias("_listed"), *empty, "_chunk", "_part")
+    w = Window.partitionBy("_key", "_chunk", "_part").orderBy(F.col("_kind") > 0, "_ts", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     merged = stream.unionByName(heads).select(
         "*", F.max("_end").over(w).alias("_cover"), F.max("_last").over(w).alias("_start_last"), F.max("_listed").over(w).alias("_known")
     )
     covered = F.coalesce(F.col("_cover") > F.col("_ts"), F.lit(False))
     state = F.when(F.col("_known").isNull(), "missing").when(F.col("_start_last") > F.col("_ts"), "late").otherwise("deleted")
-    return merged.where((F.col("_kind") == 2) & ~covered).select(*payload, state.alias("orphan_state")).unionByName(keyless)
-
-
-def _find_hot(refs: DataFrame, parents: DataFrame, chunk_rows: int) -> dict[object, list]:
-    """Counts per key are pre-aggregated; a first pass over hashed groups of keys rules most inputs out
-    without a shuffle of keys: a key is hot only if its group of a fixed number is over the limit."""
-    both = parents.select("_key", "_ts").unionByName(refs.select("_key", "_ts"))
-    groups = 65_536
-    g = F.pmod(F.xxhash64("_key"), F.lit(groups)).alias("_g")
-    sizes = both.groupBy(g).agg(F.count("*").alias("n"))
-    rows, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    return hot_keys(both, chunk_rows, rows) if most > max(chunk_rows, rows // 1000) else {}
+    return merged.where((F.col("_kind") == 2) & ~covered).select(*payload, state.alias("orphan_state"))

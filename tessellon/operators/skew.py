@@ -1,6 +1,6 @@
 """Per-key work without stragglers: fragment-replicate by estimated load.
 
-The load of each key is measured by a pre-aggregated count. Keys above a share of a task's fair load
+Load is estimated by sums over a fixed number of bins and, in crowded bins, by counts of keys. Keys above a share of a task's fair load
 are split into shards in proportion; all others fall into a fixed number of bins. Shards and bins are
 packed on tasks, longest first. Rows then go straight to their task (``repartitionById``), and the
 matching side is copied only to the tasks that hold shards of its key.
@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessellon.functions.curie import once
+
 BINS_PER_TASK = 16
 
 
@@ -33,7 +35,7 @@ class Plan:
         return df.join(F.broadcast(table), F.col(key) == F.col("_heavy"), "left").drop("_heavy")
 
     def _bin(self, key: Column) -> Column:
-        return F.element_at(F.array(*map(F.lit, self.bins)), F.pmod(F.xxhash64(key), F.lit(len(self.bins))).cast("int") + 1)
+        return F.element_at(_ints(self.bins), _bin_of(key, len(self.bins)) + 1)
 
     def fragment(self, df: DataFrame, key: str, within: list[str]) -> DataFrame:
         """Rows on their tasks, named in ``_task``. ``within``: rows equal in these stay in one shard."""
@@ -47,6 +49,15 @@ class Plan:
         return self._with_shards(df, key).withColumn("_task", F.explode(tasks)).drop("_shards").repartitionById(self.tasks, F.col("_task"))
 
 
+def _ints(values: list[int]) -> Column:
+    """A constant array, folded by the optimizer into one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+
+def _bin_of(key: Column | str, bins: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bins)).cast("int")
+
+
 def pack(bins: list[int], heavy: dict[object, int], tasks: int) -> Plan:
     """Longest processing time first; a heavy key's shards are its load over a task's fair load, rounded up."""
     fair = max(1, -(-(sum(bins) + sum(heavy.values())) // tasks))
@@ -68,20 +79,23 @@ def pack(bins: list[int], heavy: dict[object, int], tasks: int) -> Plan:
 
 
 def plan_by_load(df: DataFrame, key: str, tasks: int) -> Plan:
-    """Reads ``key`` once. A key is heavy from a quarter of a task's fair load on, so there are at most
-    4 * tasks of them; only these and the fixed number of bin totals come to the driver."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_n")).persist()
-    bins, heavy = [0] * (tasks * BINS_PER_TASK), {}
-    try:
-        for r in counts.groupBy(F.pmod(F.xxhash64(key), F.lit(len(bins))).cast("int").alias("_b")).agg(F.sum("_n").alias("_n")).collect():
-            bins[r["_b"]] = r["_n"]
-        fair = max(1, sum(bins) // (4 * tasks))
-        top = counts.where((F.col("_n") > fair) & F.col(key).isNotNull()).withColumn("_b", F.pmod(F.xxhash64(key), F.lit(len(bins))).cast("int"))
-        for r in top.collect():
+    """A key is heavy from a quarter of a task's fair load on, so there are at most 4 * tasks of them.
+
+    The first pass counts rows per bin, no keys: as many sums as there are bins come to the driver. A heavy
+    key makes its bin crowded; the second pass counts the keys of crowded bins alone, and only if there are any.
+    """
+    n = tasks * BINS_PER_TASK
+    bins, heavy = [0] * n, {}
+    for r in df.groupBy(_bin_of(key, n).alias("_b")).agg(F.count("*").alias("_n")).collect():
+        bins[r["_b"]] = r["_n"]
+    limit = max(1, sum(bins) // (4 * tasks))
+    crowded = [int(x > limit) for x in bins]
+    if any(crowded):
+        rows = df.where(F.element_at(_ints(crowded), _bin_of(key, n) + 1) == 1)
+        top = rows.groupBy(key).agg(F.count("*").alias("_n")).where((F.col("_n") > limit) & F.col(key).isNotNull())
+        for r in top.select(key, "_n", _bin_of(key, n).alias("_b")).collect():
             heavy[r[key]] = r["_n"]
             bins[r["_b"]] -= r["_n"]
-    finally:
-        counts.unpersist()
     return pack(bins, heavy, tasks)
 
 
@@ -91,10 +105,10 @@ def distinct_per_key(df: DataFrame, key: str, member: str, tasks: int) -> DataFr
     Equal pairs meet in one shard, so shards count apart and their counts add up. Empty input gives no
     rows. Columns other than the two are ignored.
     """
-    pairs = df.where(F.col(key).isNotNull() & F.col(member).isNotNull()).select(F.col(key).alias("_key"), F.col(member).alias("_member"))
+    pairs = once(df.select(F.col(key).alias("_key"), F.col(member).alias("_member"))).where("_key IS NOT NULL AND _member IS NOT NULL")
     plan = plan_by_load(pairs, "_key", tasks)
-    once = plan.fragment(pairs, "_key", ["_member"]).groupBy("_task", "_key", "_member").agg(F.count("*").alias("_c"))
-    return once.groupBy("_task", "_key").agg(F.count("*").alias("n")).groupBy("_key").agg(F.sum("n").alias("n")).withColumnRenamed("_key", key)
+    each = plan.fragment(pairs, "_key", ["_member"]).groupBy("_task", "_key", "_member").agg(F.count("*").alias("_c"))
+    return each.groupBy("_task", "_key").agg(F.count("*").alias("n")).groupBy("_key").agg(F.sum("n").alias("n")).withColumnRenamed("_key", key)
 
 
 def join_balanced(left: DataFrame, right: DataFrame, left_key: str, right_key: str, within: list[str], tasks: int, how: str = "inner") -> DataFrame:

@@ -1,18 +1,19 @@
 """Changes between full snapshots, through a bucketed key-to-hash index of the last snapshot.
 
-Only (key, hash) of the last snapshot is kept and probed; old values are fetched for changed keys
-alone, and the new index then takes the place of the old one. The index is bucketed and sorted by
-key, so a probe shuffles no old data.
+Only (key, hash) of the last snapshot is probed; values are fetched for changed keys alone, and the new
+index then takes the place of the old one. The index is bucketed and sorted by key, so a probe shuffles
+no old data. ``changes`` compares all neighbours of many releases; ``SnapshotIndex`` keeps the index of a
+feed between deliveries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessellon import files
 from tessellon.functions.curie import WS_CLASS
 from tessellon.session import Scratch, shuffle_partitions
 
@@ -35,30 +36,68 @@ def _hash(values: list[str]) -> Column:
     return F.md5(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}))
 
 
-def changes(snapshots: Iterable[tuple[str, DataFrame]], key: str, values: list[str], scratch: Scratch, fetch: bool = True) -> DataFrame:
-    """``snapshots``: (tag, one row per key), oldest first. Returns from_release, to_release, key,
+def _probe(old: DataFrame, new: DataFrame, values: list[str], fetch: bool) -> DataFrame:
+    """``old``, ``new``: _k, _h and values, bucketed alike by _k. _k, change_kind and, with ``fetch``, old_<v> and new_<v>.
+    Keys and hashes alone are compared; values are read for the keys that differ."""
+    a, b = old.select("_k", F.col("_h").alias("_old")), new.select("_k", F.col("_h").alias("_new"))
+    diff = a.join(b, "_k", "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    diff = diff.select("_k", F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("changed").alias("change_kind"))
+    for side, frame in (("old", old), ("new", new)) if fetch else ():
+        diff = diff.join(frame.select("_k", *[F.col(v).alias(f"{side}_{v}") for v in values]), "_k", "left")
+    return diff
+
+
+def _named(diff: DataFrame, key: str, before: str, after: str) -> DataFrame:
+    rest = [c for c in diff.columns if c not in ("_k", "change_kind")]
+    return diff.select(F.lit(before).alias("from_release"), F.lit(after).alias("to_release"), F.col("_k").alias(key), "change_kind", *rest)
+
+
+def changes(rows: DataFrame, tag: str, tags: list[str], key: str, values: list[str], scratch: Scratch, fetch: bool = True) -> DataFrame:
+    """``rows``: one row per tag and key; ``tags``: the releases, oldest first. Returns from_release, to_release, key,
     change_kind (added, removed, changed) and, with ``fetch``, old_<v> and new_<v> of each value.
 
-    Null keys are no records and are left out; null values are a value of their own, equal to each
-    other. An empty snapshot removes all keys of the one before. Other columns are ignored.
+    All releases are read once and written as one table, bucketed by key and in each bucket sorted by release: a
+    release's rows are its index, whose row groups the scan finds by the tag, and no probe shuffles. Null keys are no records and are left out; null values are a
+    value of their own, equal to each other. A release without rows removes all keys of the one before. Rows
+    of other tags and other columns are ignored.
     """
-    buckets = shuffle_partitions(scratch.spark)
-    found, old, old_tag, old_rows = [], None, None, None
-    for n, (tag, rows) in enumerate(snapshots):
-        rows = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), *values)
-        stored = scratch.bucketed(rows.select("_k", _hash(values).alias("_h"), *values), f"s{n}", buckets, "_k")
-        index = stored.select("_k", "_h")
-        if old is not None:
-            a, b = old.withColumnRenamed("_h", "_old"), index.withColumnRenamed("_h", "_new")
-            diff = a.join(b, "_k", "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
-            kind = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("changed")
-            diff = diff.select(F.lit(old_tag).alias("from_release"), F.lit(tag).alias("to_release"), "_k", kind.alias("change_kind"))
-            if fetch:
-                for side, frame in (("old", old_rows), ("new", stored)):
-                    diff = diff.join(frame.select("_k", *[F.col(v).alias(f"{side}_{v}") for v in values]), "_k", "left")
-            found.append(diff.withColumnRenamed("_k", key))
-        old, old_tag, old_rows = index, tag, stored
-    if not found:
+    if len(tags) < 2:
         raise ValueError("at least two snapshots are needed")
-    head = ["from_release", "to_release", key, "change_kind"]
-    return reduce(DataFrame.unionByName, [d.select(*head, *[c for c in d.columns if c not in head]) for d in found])
+    kept = rows.where(F.col(key).isNotNull() & F.col(tag).isin(*tags)).select(F.col(key).alias("_k"), _hash(values).alias("_h"), *values, F.col(tag).alias("_tag"))
+    index = scratch.bucketed(kept, "index", shuffle_partitions(scratch.spark), "_k", first=("_tag",))
+    of = lambda t: index.where(F.col("_tag") == t).drop("_tag")
+    return reduce(DataFrame.unionByName, [_named(_probe(of(a), of(b), values, fetch), key, a, b) for a, b in zip(tags, tags[1:])])
+
+
+class SnapshotIndex:
+    """The index of a feed's last snapshot, kept below ``root`` from one delivery to the next.
+
+    Each delivery is written once, bucketed by key, beside the last; the file ``CURRENT`` names the version that
+    holds and is replaced when the new one is complete, so a broken delivery leaves the old index in place.
+    The version before stays until the delivery after, since the changes returned still read it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str, values: list[str], buckets: int | None = None):
+        self.spark, self.root, self.key, self.values = spark, root.rstrip("/"), key, values
+        self.buckets = buckets or shuffle_partitions(spark)
+
+    def current(self) -> tuple[str, str, int] | None:
+        """(version, tag, buckets) of the last delivery."""
+        if not files.exists(self.spark, f"{self.root}/CURRENT"):
+            return None
+        version, tag, buckets = files.read(self.spark, f"{self.root}/CURRENT").split("\n")
+        return version, tag, int(buckets)
+
+    def deliver(self, tag: str, rows: DataFrame, fetch: bool = True) -> DataFrame | None:
+        """Changes from the last delivery to ``rows`` (one row per key), as ``changes`` gives them; None for the first."""
+        last = self.current()
+        version, buckets = f"v{int(last[0][1:]) + 1 if last else 0}", last[2] if last else self.buckets
+        kept = rows.where(F.col(self.key).isNotNull()).select(F.col(self.key).alias("_k"), _hash(self.values).alias("_h"), *self.values)
+        new = files.write_bucketed(self.spark, kept, f"{self.root}/{version}", buckets, "_k")
+        files.replace(self.spark, f"{self.root}/CURRENT", f"{version}\n{tag}\n{buckets}")
+        if last is None:
+            return None
+        if int(last[0][1:]):
+            files.delete(self.spark, f"{self.root}/v{int(last[0][1:]) - 1}")
+        old = files.read_bucketed(self.spark, kept.schema, f"{self.root}/{last[0]}", buckets, "_k")
+        return _named(_probe(old, new, self.values, fetch), self.key, last[1], tag)

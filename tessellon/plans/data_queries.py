@@ -56,19 +56,19 @@ def p3_edits(spark: SparkSession, d: str) -> DataFrame:
     return badrows.failed_rows(_parsed(spark, d)).select("line_id", "reason", F.array_join("edits", "; ").alias("edits"))
 
 
-def _counts(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
+def _changes(spark: SparkSession, d: str, fetch: bool) -> DataFrame:
     rows = table(spark, d, "release_counts").where(F.col("count_path").isNotNull()).select("release_tag", "count_path", "delivered_at", "row_id", snapshots.whole_number("cnt").alias("n"))
-    return [(r, snapshots.latest(rows.where(F.col("release_tag") == r).drop("release_tag"), ["count_path"], ["delivered_at", "row_id"])) for r in RELEASES]
+    last = snapshots.latest(rows, ["release_tag", "count_path"], ["delivered_at", "row_id"])
+    return snapshots.changes(last, "release_tag", list(RELEASES), "count_path", ["n"], Scratch(spark, "p4"), fetch)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return snapshots.changes(_counts(spark, d), "count_path", ["n"], Scratch(spark, "p4"), fetch=False)
+    return _changes(spark, d, fetch=False)
 
 
 def p4_values(spark: SparkSession, d: str) -> DataFrame:
     """The changes with the old and the new count."""
-    out = snapshots.changes(_counts(spark, d), "count_path", ["n"], Scratch(spark, "p4"))
-    return out.withColumns({c: F.col(c).cast("bigint") for c in ("old_n", "new_n")})
+    return _changes(spark, d, fetch=True).withColumns({c: F.col(c).cast("bigint") for c in ("old_n", "new_n")})
 
 
 def _canonical_type(c: str):

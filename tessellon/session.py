@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessellon import files
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share.
@@ -49,17 +51,9 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def bucketed(self, df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
-        """One file per bucket; a join on ``keys`` with as many partitions needs no shuffle of this side."""
-        full = f"{self.id}_{name}"
-        self.spark.sql(f"DROP TABLE IF EXISTS {full}")
-        (df.repartition(buckets, *keys).write.mode("overwrite").option("path", f"{self.root}/{name}").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(full))
-        out = self.spark.table(full)
-        self.spark.sql(f"DROP TABLE {full}")  # the catalog's entry only: the files lie at a path of their own
-        return out
+    def bucketed(self, df: DataFrame, name: str, buckets: int, key: str, first: tuple[str, ...] = ()) -> DataFrame:
+        return files.write_bucketed(self.spark, df, f"{self.root}/{name}", buckets, key, first)
 
     def drop(self, name: str) -> None:
         """Delete a table that nothing will read again."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        files.delete(self.spark, f"{self.root}/{name}")
