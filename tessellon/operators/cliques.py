@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessellon.functions.curie import prefix, upper_prefix
@@ -119,13 +119,21 @@ def glom(pairs: DataFrame, scratch: Scratch, unique_prefixes: tuple[str, ...] =
     return free.unionByName(sorted_pairs.mapInPandas(_fold(unique_prefixes, near), "curie string, clique string"))
 
 
+def of_single_rows(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys stand in one row only: counts combine before the shuffle, so no task gathers a common key's rows.
+    Null keys are a key like any other."""
+    once = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_n")).where("_n = 1").drop("_n")
+    match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    for m in match[1:]:
+        match[0] = match[0] & m
+    return rows.join(once, match[0], "left_semi")
+
+
 def overused_xrefs(pairs: DataFrame, both_ways: bool = False) -> DataFrame:
     """Pairs (subject, object, ...) whose object occurs in one row only, with ``both_ways`` its subject too.
     Rows are counted, so a repeated pair drops itself."""
-    out = pairs.withColumn("_o", F.count("*").over(Window.partitionBy("object")))
-    if both_ways:
-        out = out.withColumn("_s", F.count("*").over(Window.partitionBy("subject"))).where("_s = 1")
-    return out.where("_o = 1").drop("_o", "_s")
+    out = of_single_rows(pairs, "object")
+    return out.join(of_single_rows(pairs, "subject").select(F.col("subject").alias("_s")), F.col("subject").eqNullSafe(F.col("_s")), "left_semi") if both_ways else out
 
 
 def unique_members(sets: DataFrame, set_key: str, member: str) -> DataFrame:
@@ -208,7 +216,7 @@ def seed_pairs(cliques: DataFrame) -> DataFrame:
 def untyped_cliques(ids: DataFrame, concords: DataFrame, scratch: Scratch, seed: DataFrame | None = None, unique_prefixes: tuple[str, ...] = ("INCHIKEY",)) -> DataFrame:
     """Seed, then identifiers, then filtered concords, merged in this order: curie, clique."""
     singles, _ = read_identifiers(ids)
-    per_file = concords.withColumn("_o", F.count("*").over(Window.partitionBy("file_seq", "object"))).where("_o = 1")
+    per_file = of_single_rows(concords, "file_seq", "object")
     pairs = singles.unionByName(per_file.select(F.lit(1).alias("stage"), "file_seq", "seq", F.col("subject").alias("left"), F.col("object").alias("right")))
     if seed is not None:
         pairs = pairs.unionByName(seed_pairs(seed).select(*pairs.columns))

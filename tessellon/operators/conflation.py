@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessellon.functions.curie import numeric_suffix, prefix
-from tessellon.operators.cliques import glom
+from tessellon.operators.cliques import glom, of_single_rows
 from tessellon.operators.typing import rank_of
 from tessellon.session import Scratch
 
 
 def single_row_subjects(pairs: DataFrame) -> DataFrame:
     """Pairs whose subject stands in one row only."""
-    return pairs.withColumn("_n", F.count("*").over(Window.partitionBy("subject"))).where("_n = 1").drop("_n")
+    return of_single_rows(pairs, "subject")
 
 
 def valid_pairs(pairs: DataFrame, *valid: DataFrame) -> DataFrame:
@@ -66,14 +66,17 @@ def resolve_concepts(rel: DataFrame, conso: DataFrame) -> DataFrame:
 
 def single_use(pairs: DataFrame, single: tuple[str, ...], one_to_one: tuple[str, ...] = ()) -> DataFrame:
     """subject, predicate, object without repetitions and self pairs. For predicates of ``single`` a subject must have
-    exactly one object, for ``one_to_one`` an object also one subject; other predicates pass."""
-    p = pairs.where("subject <> object").select("subject", "predicate", "object").distinct()
-    p = p.withColumn("_s", F.count("*").over(Window.partitionBy("predicate", "subject"))).withColumn("_o", F.count("*").over(Window.partitionBy("predicate", "object")))
-    once = ~F.col("predicate").isin(*single, *one_to_one) if single or one_to_one else F.lit(True)
-    ok = once | (F.col("predicate").isin(*single) & (F.col("_s") == 1)) if single else once
+    exactly one object, for ``one_to_one`` an object also one subject; other predicates pass, a null one is no relation."""
+    p = pairs.where("subject <> object AND predicate IS NOT NULL").select("subject", "predicate", "object").distinct()
+    free, bound = p.where(~F.col("predicate").isin(*single, *one_to_one)), p.where(F.col("predicate").isin(*single, *one_to_one))
+    if not single and not one_to_one:
+        return p
+    kept = of_single_rows(bound, "predicate", "subject")
     if one_to_one:
-        ok = ok | (F.col("predicate").isin(*one_to_one) & (F.col("_s") == 1) & (F.col("_o") == 1))
-    return p.where(ok).drop("_s", "_o")
+        lone = of_single_rows(bound.where(F.col("predicate").isin(*one_to_one)), "predicate", "object")
+        both = kept.where(F.col("predicate").isin(*one_to_one)).join(lone, ["subject", "predicate", "object"], "left_semi")
+        kept = kept.where(F.col("predicate").isin(*single)).unionByName(both.where(~F.col("predicate").isin(*single)) if single else both)
+    return free.unionByName(kept)
 
 
 def flatten_annotations(lines: DataFrame) -> DataFrame:

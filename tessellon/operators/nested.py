@@ -2,7 +2,8 @@
 
 The schema is a graph of elements. An element gets a table of its own if it repeats, is reached from
 more than one parent, or is recursive; every other element is inlined in the row of its nearest ancestor
-with a table. Rows of a child table carry their record's key, their parent's position and their own.
+with a table. Every row has an identifier within its record (the path of fields and positions that leads to
+it), and names its parent by it; rows of a child table also carry their parent's position and their own.
 """
 
 from __future__ import annotations
@@ -100,24 +101,24 @@ def opened(v: Column) -> Column:
 
 #: Levels of a recursive graph between two looks at the data.
 STEP = 16
-_ROW = "struct<element: string, parent_kind: string, parent_pos: int, pos: int, kind: string, v: variant, open: boolean>"
+_ROW = "struct<id: string, parent_id: string, element: string, parent_kind: string, parent_pos: int, pos: int, kind: string, v: variant, open: boolean>"
 
 
 def _row_of(e: Edge, element: str):
     def row(v: Column, i: Column) -> Column:
         return F.struct(
-            F.lit(e.child).alias("element"), F.lit(element).alias("parent_kind"), F.col("x.pos").alias("parent_pos"), i.alias("pos"), F.lit(e.kind or e.child).alias("kind"), v.alias("v"), F.lit(True).alias("open")
+            F.concat(F.col("x.id"), F.lit(f"/{e.name}/"), i.cast("string")).alias("id"), F.col("x.id").alias("parent_id"), F.lit(e.child).alias("element"), F.lit(element).alias("parent_kind"), F.col("x.pos").alias("parent_pos"), i.alias("pos"), F.lit(e.kind or e.child).alias("kind"), v.alias("v"), F.lit(True).alias("open")
         )
 
     return row
 
 
 def shred_rows(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> DataFrame:
-    """_key and x (element, parent_kind, parent_pos, pos, kind, v): the rows of all tables, records included, in one pass.
+    """_key and x (id, parent_id, element, parent_kind, parent_pos, pos, kind, v): the rows of all tables, records included, in one pass.
 
     Each record is parsed once; a level of the graph unfolds the rows of the level before beside themselves.
     """
-    record = F.struct(F.lit(graph.root).alias("element"), F.lit(None).cast("string").alias("parent_kind"), F.lit(-1).alias("parent_pos"), F.lit(-1).alias("pos"), F.lit(graph.root).alias("kind"), parsed(df.sparkSession, json).alias("v"), F.lit(True).alias("open"))
+    record = F.struct(F.lit("").alias("id"), F.lit(None).cast("string").alias("parent_id"), F.lit(graph.root).alias("element"), F.lit(None).cast("string").alias("parent_kind"), F.lit(-1).alias("parent_pos"), F.lit(-1).alias("pos"), F.lit(graph.root).alias("kind"), parsed(df.sparkSession, json).alias("v"), F.lit(True).alias("open"))
     rows = df.select(F.col(key).alias("_key"), record.alias("x")).where("x.v IS NOT NULL")
     holders = {x for x in graph.tables() if _held(graph, x)}
     at, scratch = {graph.root}, Scratch(df.sparkSession, "shred") if graph.recursive() else None
@@ -142,24 +143,34 @@ def shred_rows(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> DataFr
     return rows
 
 
-def shred(df: DataFrame, key: str, json: str, graph: SchemaGraph) -> dict[str, DataFrame]:
+def shred(df: DataFrame, key: str, json: str, graph: SchemaGraph, scratch: Scratch | None = None) -> dict[str, DataFrame]:
     """One table per element of ``graph.tables()``.
 
-    The root's table: the key and the inlined leaves as text. Every other table: the key, ``parent_kind``
-    (element that holds the row), ``parent_pos`` (place of the parent among its own siblings, -1 for the
-    record), ``pos`` (place in the array, nulls counted), ``kind``, ``value`` (text, of a scalar) and the
+    The root's table: the key and the inlined leaves as text. Every other table, and the root's if records can hold
+    records: the key, ``row_id`` (path within the record, '' for the record itself), ``parent_id`` (the parent's row_id),
+    ``parent_kind`` (element that holds the row), ``parent_pos`` (place of the parent among its own siblings, -1 for
+    the record), ``pos`` (place in the array, nulls counted), ``kind``, ``value`` (text, of a scalar) and the
     inlined leaves. Null gives no row. Rows whose JSON is null or invalid give none; columns other than the
     two are ignored, so clashing names do no harm. Recursive elements are followed as deep as they go.
+
+    With ``scratch`` the records are parsed once and all tables read from the rows written, a folder per element;
+    without it each table that is read parses them anew.
     """
     rows, out = shred_rows(df, key, json, graph), {}
+    if scratch is not None:
+        wanted = ["id", "parent_id", "element", "parent_kind", "parent_pos", "pos", "kind", "v"]
+        rows = scratch.write(rows.select("_key", *[F.col(f"x.{c}").alias(c) for c in wanted]), "rows", by="element")
+        rows = rows.select("_key", "element", F.struct(*wanted).alias("x"))
+    else:
+        rows = rows.withColumn("element", F.col("x.element"))
     for element in graph.tables():
         leaves = [F.try_variant_get("x.v", p, "string").alias(c) for p, c in graph.inlined(element)]
-        mine = rows.where(F.col("x.element") == element)
-        if element == graph.root:
+        mine = rows.where(F.col("element") == element)
+        if element == graph.root and element not in graph.recursive():
             out[element] = mine.select(F.col("_key").alias(key), *leaves)
         else:
             value = F.when(~F.schema_of_variant("x.v").startswith("OBJECT"), F.try_variant_get("x.v", "$", "string")).alias("value")
-            out[element] = mine.select(F.col("_key").alias(key), "x.parent_kind", "x.parent_pos", "x.pos", "x.kind", value, *leaves)
+            out[element] = mine.select(F.col("_key").alias(key), F.col("x.id").alias("row_id"), "x.parent_id", "x.parent_kind", "x.parent_pos", "x.pos", "x.kind", value, *leaves)
     return out
 
 

@@ -39,10 +39,22 @@ def duplicate_curies(edges: DataFrame) -> DataFrame:
     return edges.where("curie IS NOT NULL AND clique_leader IS NOT NULL").groupBy("curie").agg(F.count_distinct("clique_leader").alias("leaders"), F.count("*").alias("n"), F.min("clique_leader").alias("first_leader"), F.max("clique_leader").alias("last_leader")).where("leaders > 1")
 
 
+def duplicate_curie_lists(edges: DataFrame, cliques: DataFrame, conflation: str | None = None) -> DataFrame:
+    """curie, clique_leaders, filenames, biolink_types, names: what holds each identifier of more than one clique, distinct, sorted
+    and joined by ``||``; ``conflation`` keeps the edges of one conflation. Leaders without a clique row have no type or name."""
+    e = edges.where("curie IS NOT NULL AND clique_leader IS NOT NULL")
+    e = e.where(F.col("conflation") == conflation) if conflation is not None else e
+    some = e.groupBy("curie").agg(F.count_distinct("clique_leader").alias("n")).where("n > 1").select("curie")
+    held = e.select("curie", "clique_leader", "filename").distinct().join(some, "curie", "left_semi")
+    facts = cliques.select("clique_leader", "biolink_type", "preferred_name").distinct()
+    rows = held.join(facts, "clique_leader", "left")
+    return rows.groupBy("curie").agg(_joined("clique_leader").alias("clique_leaders"), _joined("filename").alias("filenames"), _joined("biolink_type").alias("biolink_types"), _joined("preferred_name").alias("names"))
+
+
 def duplicate_leaders(cliques: DataFrame, strict: bool = False) -> DataFrame:
     """Leaders in more than one clique row. ``strict`` counts the distinct leaders of a leader, so nothing ever comes out."""
     n = F.count_distinct("clique_leader") if strict else F.count("*")
-    return cliques.where("clique_leader IS NOT NULL").groupBy("clique_leader").agg(n.alias("n")).where("n > 1")
+    return cliques.where("clique_leader IS NOT NULL").groupBy("clique_leader").agg(n.alias("n"), _joined("filename").alias("filenames")).where("n > 1")
 
 
 def prefix_summary(edges: DataFrame) -> DataFrame:

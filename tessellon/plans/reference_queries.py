@@ -60,14 +60,14 @@ _RANK_SQL = _values(_rank_rows(), "type", "prefix", "rank")
 
 def _concords(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "drugchemical").select("row_id", "file_seq", "seq", C.plain_curie("subject").alias("subject"), "predicate", C.plain_curie("object").alias("object"))
-    return t.where("subject IS NOT NULL AND object IS NOT NULL")
+    return C.once(t).where("subject IS NOT NULL AND object IS NOT NULL")
 
 
 _CONC = f"conc AS (SELECT * FROM (SELECT row_id, file_seq, seq, {plain('subject')} AS subject, predicate, {plain('object')} AS object FROM drugchemical) WHERE subject IS NOT NULL AND object IS NOT NULL)"
 
 
 def _ids(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "ids").select("file_seq", "seq", C.plain_curie("curie").alias("curie"), F.col("biolink_type").alias("type")).where("curie IS NOT NULL")
+    return C.once(table(spark, d, "ids").select("file_seq", "seq", C.plain_curie("curie").alias("curie"), F.col("biolink_type").alias("type"))).where("curie IS NOT NULL")
 
 
 _IDT = f"""ids0 AS (SELECT file_seq, seq, {plain('curie')} AS curie, biolink_type AS type FROM ids WHERE {plain('curie')} IS NOT NULL),
@@ -78,13 +78,14 @@ def _types(spark: SparkSession, d: str) -> DataFrame:
     return cliques.read_identifiers(_ids(spark, d))[1]
 
 
-def _shredded(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return nested.shred(table(spark, d, "compendium_jsonl"), "line_id", "raw_line", nested.COMPENDIUM)
+def _shredded(spark: SparkSession, d: str, once: bool = False) -> dict[str, DataFrame]:
+    """The compendium's flat tables; ``once`` for queries that use several of them or one several times."""
+    return nested.shred(table(spark, d, "compendium_jsonl"), "line_id", "raw_line", nested.COMPENDIUM, Scratch(spark, "shred") if once else None)
 
 
-def _members(spark: SparkSession, d: str) -> DataFrame:
+def _members(spark: SparkSession, d: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """clique, pos, curie, label: the compendium lines' members."""
-    t = _shredded(spark, d)["identifier"]
+    t = (tables or _shredded(spark, d))["identifier"]
     return t.select(F.col("line_id").alias("clique"), "pos", C.plain_curie(F.coalesce("i", "identifier", "value")).alias("curie"), F.coalesce("l", "label").alias("label")).where("curie IS NOT NULL")
 
 
@@ -93,20 +94,20 @@ mem AS (SELECT * FROM (SELECT line_id AS clique, pos::INT AS pos, {plain("coales
   coalesce(json_extract_string(o, '$.l'), json_extract_string(o, '$.label')) AS label FROM idents WHERE json_type(o) <> 'NULL') WHERE curie IS NOT NULL)"""
 
 
-def _clique_types(spark: SparkSession, d: str) -> DataFrame:
-    t = _shredded(spark, d)["type"].where("parent_kind = 'record' AND pos = 0")
+def _clique_types(spark: SparkSession, d: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    t = (tables or _shredded(spark, d))["type"].where("parent_kind = 'record' AND pos = 0")
     return t.select(F.col("line_id").alias("clique"), F.col("value").alias("type"))
 
 
 _CT = f"ct AS (SELECT line_id AS clique, json_extract_string({_LIST.format('v')}[1], '$') AS type FROM (SELECT line_id, json_extract(j, '$.type') AS v FROM lines) WHERE v IS NOT NULL AND json_type({_LIST.format('v')}[1]) <> 'NULL')"
 
 
-def _parts(spark: SparkSession, d: str, what: str) -> DataFrame:
+def _parts(spark: SparkSession, d: str, what: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """curie, value: descriptions or taxa of the members."""
-    t = _shredded(spark, d)
-    part = t[what].where("parent_kind = 'identifier'").select("line_id", F.col("parent_pos").alias("pos"), "value")
-    m = t["identifier"].select("line_id", "pos", C.plain_curie(F.coalesce("i", "identifier", "value")).alias("curie"))
-    return part.join(m, ["line_id", "pos"]).select("curie", "value").where("curie IS NOT NULL AND value IS NOT NULL")
+    t = tables or _shredded(spark, d)
+    part = t[what].where("parent_kind = 'identifier'").select("line_id", F.col("parent_id").alias("row_id"), "value")
+    m = t["identifier"].select("line_id", "row_id", C.plain_curie(F.coalesce("i", "identifier", "value")).alias("curie"))
+    return part.join(m, ["line_id", "row_id"]).select("curie", "value").where("curie IS NOT NULL AND value IS NOT NULL")
 
 
 def _part_sql(name: str, path: str) -> str:
@@ -114,9 +115,9 @@ def _part_sql(name: str, path: str) -> str:
     return f"""{name} AS (SELECT * FROM (SELECT {plain("coalesce(json_extract_string(o, '$.i'), json_extract_string(o, '$.identifier'))")} AS curie, json_extract_string(unnest({_LIST.format(v)}), '$') AS value FROM idents WHERE {v} IS NOT NULL) WHERE curie IS NOT NULL AND value IS NOT NULL)"""
 
 
-def _member_labels(spark: SparkSession, d: str) -> DataFrame:
+def _member_labels(spark: SparkSession, d: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """seq, curie, label of all lines; the sequence is the line's."""
-    return _members(spark, d).where("label IS NOT NULL AND label <> ''").select((F.col("clique") * 1000 + F.col("pos")).alias("seq"), "curie", "label")
+    return _members(spark, d, tables).where("label IS NOT NULL AND label <> ''").select((F.col("clique") * 1000 + F.col("pos")).alias("seq"), "curie", "label")
 
 
 _LAB = "lab AS (SELECT clique * 1000 + pos AS seq, curie, label FROM mem WHERE label IS NOT NULL AND label <> '')"
@@ -200,7 +201,7 @@ def op02_overused_bothways(spark, d):
 
 
 def _sets(spark, d):
-    return table(spark, d, "edge").select(C.plain_value("clique_leader").alias("clique"), C.plain_value("curie").alias("curie")).where("clique IS NOT NULL AND curie IS NOT NULL")
+    return C.once(table(spark, d, "edge").select(C.plain_value("clique_leader").alias("clique"), C.plain_value("curie").alias("curie"))).where("clique IS NOT NULL AND curie IS NOT NULL")
 
 
 _SETS = f"sets AS (SELECT * FROM (SELECT {value('clique_leader')} AS clique, {value('curie')} AS curie FROM edge) WHERE clique IS NOT NULL AND curie IS NOT NULL)"
@@ -318,7 +319,8 @@ _ORDERED = f"""{_CT}, ordered AS (SELECT clique, (row_number() OVER (PARTITION B
 
 @query(f"WITH {_MEM}, {_ORDERED} SELECT clique, pos, curie FROM ordered")
 def op30_ordered_members(spark, d):
-    return nodes.ordered_members(_members(spark, d), _clique_types(spark, d), _ranks(spark))
+    t = _shredded(spark, d, once=True)
+    return nodes.ordered_members(_members(spark, d, t), _clique_types(spark, d, t), _ranks(spark))
 
 
 @query(f"""WITH {_MEM}, m AS (SELECT clique, curie, label, CASE WHEN trim(label) <> '' THEN lower(label) END AS l, {_pfx('curie')} = 'PUBCHEM.COMPOUND' AS own FROM mem),
@@ -334,10 +336,11 @@ def op31_pubchem_leader(spark, d):
 s AS (SELECT curie, min(synonym) AS label FROM syn GROUP BY curie), b AS (SELECT curie, arg_max(label, (length(label), -seq)) AS label FROM lab GROUP BY curie)
 SELECT DISTINCT mem.curie, coalesce(a.label, s.label, b.label) AS label FROM mem LEFT JOIN a USING (curie) LEFT JOIN s USING (curie) LEFT JOIN b USING (curie)""")
 def op32_labels(spark, d):
-    lab = _member_labels(spark, d)
+    t = _shredded(spark, d, once=True)
+    lab = _member_labels(spark, d, t)
     first = nodes.last_label(lab.where(C.prefix("curie") == "CHEBI"))
     second = _synonyms(spark, d).groupBy("curie").agg(F.min("synonym").alias("label"))
-    return nodes.apply_labels(_members(spark, d).select("curie").distinct(), first, second, nodes.longest_label(lab))
+    return nodes.apply_labels(_members(spark, d, t).select("curie").distinct(), first, second, nodes.longest_label(lab))
 
 
 @query(f"WITH {_MEM}, {_LAB} SELECT curie, arg_max(label, (length(label), -seq)) AS label FROM lab GROUP BY curie")
@@ -393,7 +396,8 @@ def op41_descriptions(spark, d):
 
 @query(f"WITH {_MEM}, {_part_sql('tt', 't')} SELECT DISTINCT clique, mem.curie, value AS taxon FROM mem JOIN tt ON upper(mem.curie) = upper(tt.curie)")
 def op42_taxa(spark, d):
-    return nodes.taxa_of(_members(spark, d), _parts(spark, d, "taxon").withColumnRenamed("value", "taxon"))
+    t = _shredded(spark, d, once=True)
+    return nodes.taxa_of(_members(spark, d, t), _parts(spark, d, "taxon", t).withColumnRenamed("value", "taxon"))
 
 
 _NAME = f"""pn AS (SELECT clique, coalesce(arg_min(CASE WHEN label <> '' THEN label END, CASE WHEN label <> '' THEN (length(label) > 15, {_rank_case(_pfx('curie'), BOOSTED)}, pos) END), '') AS preferred_name FROM mem GROUP BY clique)"""
@@ -424,29 +428,36 @@ def op46_properties(spark, d):
 
 
 def _records(spark, d):
-    m = nodes.ordered_members(_members(spark, d), _clique_types(spark, d), _ranks(spark))
-    labels = nodes.last_label(_member_labels(spark, d)).select(F.upper("curie").alias("u"), "label")
-    named = m.withColumn("u", F.upper("curie")).join(labels, "u", "left").drop("u")
-    desc = nodes.all_descriptions(_parts(spark, d, "description").withColumnRenamed("value", "description")).where(F.upper("curie") == F.col("curie"))
-    tax = _parts(spark, d, "taxon").withColumnRenamed("value", "taxon").distinct()
+    t = _shredded(spark, d, once=True)
+    m = Scratch(spark, "records").write(nodes.ordered_members(_members(spark, d, t), _clique_types(spark, d, t), _ranks(spark)), "members")
+    # members come spelled as their type's prefixes are; what enriches them is found by the plain form and takes their spelling
+    spelled = m.select(C.plain_curie("curie").alias("plain"), "curie").distinct()
+    own = lambda df, c: df.withColumnRenamed("curie", "plain").join(spelled, "plain").select("curie", c)
+    labels = own(nodes.last_label(_member_labels(spark, d, t)), "label")
+    desc = own(nodes.all_descriptions(_parts(spark, d, "description", t).withColumnRenamed("value", "description")), "description")
+    tax = own(_parts(spark, d, "taxon", t).distinct(), "value").withColumnRenamed("value", "taxon")
+    named = m.join(labels, "curie", "left")
     names = nodes.preferred_name(named, BOOSTED)
-    ic = nodes.information_content(m, _scores(spark, d))
-    return nodes.compendium_records(m, _clique_types(spark, d), named.select("curie", "label").distinct(), names, ic, desc, tax), m, named, names
+    ic = nodes.information_content(m, own(_scores(spark, d), "ic"))
+    return nodes.compendium_records(m, _clique_types(spark, d, t), labels, names, ic, desc, tax)
 
 
 _REC = f"""{_MEM}, {_LAB}, {_ORDERED}, {_IC}, {_part_sql('dd', 'd')}, {_part_sql('tt', 't')},
-ll AS (SELECT upper(curie) AS u, arg_max(label, seq) AS label FROM (SELECT curie, label, seq FROM lab) GROUP BY curie),
-named AS (SELECT ordered.*, label FROM ordered LEFT JOIN ll ON u = upper(curie)),
+ll AS (SELECT curie AS u, arg_max(label, seq) AS label FROM lab GROUP BY curie),
+named AS (SELECT ordered.*, label FROM ordered LEFT JOIN ll ON u = {plain('curie')}),
 pn AS (SELECT clique, coalesce(arg_min(CASE WHEN label <> '' THEN label END, CASE WHEN label <> '' THEN (length(label) > 15, {_rank_case(_pfx('curie'), BOOSTED)}, pos) END), '') AS preferred_name FROM named GROUP BY clique)"""
 
 
 @query(f"""WITH {_REC}, ds AS (SELECT curie, string_agg(value, '^' ORDER BY length(value), value) AS ds FROM (SELECT DISTINCT curie, value FROM dd WHERE value <> '') GROUP BY curie),
-r AS (SELECT clique, string_agg(curie || '=' || coalesce(label, '') || '=' || coalesce(ds, ''), '|' ORDER BY pos) AS identifiers FROM named LEFT JOIN ds USING (curie) GROUP BY clique)
-SELECT r.clique, ct.type, (SELECT min(ic) FROM ordered o JOIN ics USING (curie) WHERE o.clique = r.clique) AS ic, identifiers, preferred_name FROM r JOIN ct USING (clique) LEFT JOIN pn USING (clique)""")
+ts AS (SELECT curie, string_agg(value, '^' ORDER BY {_num('value')} IS NULL, {_num('value')}, value) AS ts FROM (SELECT DISTINCT curie, value FROM tt) GROUP BY curie),
+n AS (SELECT clique, pos, curie, label, {plain('curie')} AS p FROM named),
+r AS (SELECT clique, string_agg(n.curie || '=' || coalesce(label, '') || '=' || coalesce(ds, '') || '=' || coalesce(ts, ''), '|' ORDER BY pos) AS identifiers, min(ic) AS ic FROM n LEFT JOIN ds ON ds.curie = p LEFT JOIN ts ON ts.curie = p LEFT JOIN ics ON ics.curie = p GROUP BY clique),
+ta AS (SELECT clique, string_agg(value, '^' ORDER BY {_num('value')} IS NULL, {_num('value')}, value) AS taxa FROM (SELECT DISTINCT clique, value FROM n JOIN tt ON tt.curie = p) GROUP BY clique)
+SELECT r.clique, ct.type, ic, identifiers, preferred_name, coalesce(taxa, '') AS taxa FROM r JOIN ct USING (clique) LEFT JOIN pn USING (clique) LEFT JOIN ta USING (clique)""")
 def op47_compendium_records(spark, d):
-    rec = _records(spark, d)[0]
-    idents = F.array_join(F.transform("identifiers", lambda x: F.concat(x["i"], F.lit("="), x["l"], F.lit("="), F.array_join(x["d"], "^"))), "|")
-    return rec.select("clique", "type", "ic", idents.alias("identifiers"), "preferred_name")
+    rec = _records(spark, d)
+    idents = F.array_join(F.transform("identifiers", lambda x: F.concat(x["i"], F.lit("="), x["l"], F.lit("="), F.array_join(x["d"], "^"), F.lit("="), F.array_join(x["t"], "^"))), "|")
+    return rec.select("clique", "type", "ic", idents.alias("identifiers"), "preferred_name", F.array_join("taxa", "^").alias("taxa"))
 
 
 @query(f"""WITH {_MEM}, {_LAB}, {_SYN}, {_CT}, {_NAME},
@@ -455,9 +466,10 @@ n AS (SELECT clique, string_agg(synonym, '|' ORDER BY length(synonym), synonym)
 l AS (SELECT clique, arg_min(curie, pos) AS curie, count(*) AS clique_identifier_count FROM mem GROUP BY clique)
 SELECT curie, names, replace(type, 'biolink:', '') AS types, preferred_name, shortest_name_length, clique_identifier_count, {_num('curie')} AS curie_suffix FROM l JOIN n USING (clique) JOIN pn USING (clique) JOIN ct USING (clique) WHERE preferred_name <> ''""")
 def op48_synonym_records(spark, d):
-    m = _members(spark, d)
-    syn = nodes.all_synonyms(_member_labels(spark, d), _synonyms(spark, d)).select("curie", "synonym").distinct()
-    out = nodes.synonym_records(m, syn, nodes.preferred_name(m, BOOSTED), _clique_types(spark, d))
+    t = _shredded(spark, d, once=True)
+    m = _members(spark, d, t)
+    syn = nodes.all_synonyms(_member_labels(spark, d, t), _synonyms(spark, d)).select("curie", "synonym").distinct()
+    out = nodes.synonym_records(m, syn, nodes.preferred_name(m, BOOSTED), _clique_types(spark, d, t))
     return out.withColumns({"names": F.array_join("names", "|"), "types": F.array_join("types", "|")})
 
 
@@ -544,7 +556,8 @@ FROM (SELECT DISTINCT clique, curie FROM mem) m LEFT JOIN ct USING (clique) LEFT
 
 @query(f"WITH {_OM} SELECT clique, pos, curie FROM om")
 def op61_conflation_order(spark, d):
-    return conflation.order_members(_members(spark, d), _clique_types(spark, d), _ranks(spark))
+    t = _shredded(spark, d, once=True)
+    return conflation.order_members(_members(spark, d, t), _clique_types(spark, d, t), _ranks(spark))
 
 
 @query(f"""WITH {_OM}, {_IDT}, {_IC}, x AS (SELECT om.*, ic, idt.type AS t FROM om LEFT JOIN ics USING (curie) LEFT JOIN idt USING (curie)),
@@ -570,7 +583,8 @@ def op63_conflated_synonyms(spark, d):
 
 @query(f"WITH {_MEM}, {_LAB}, l AS (SELECT curie, arg_max(label, seq) AS label FROM lab GROUP BY curie) SELECT clique, coalesce(arg_min(CASE WHEN l.label <> '' THEN l.label END, CASE WHEN l.label <> '' THEN pos END), '?') AS label FROM mem LEFT JOIN l USING (curie) GROUP BY clique")
 def op64_labelled_cliques(spark, d):
-    return conflation.label_cliques(_members(spark, d).select("clique", "pos", "curie"), nodes.last_label(_member_labels(spark, d)))
+    t = _shredded(spark, d, once=True)
+    return conflation.label_cliques(_members(spark, d, t).select("clique", "pos", "curie"), nodes.last_label(_member_labels(spark, d, t)))
 
 
 _TREES = tuple((t, t) for t in TYPE_ORDER)
@@ -605,12 +619,24 @@ def op81_duplicate_curies(spark, d):
     return reports.duplicate_curies(table(spark, d, "edge"))
 
 
-@query("SELECT clique_leader, count(*) AS n FROM clique WHERE clique_leader IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+_FILES = "array_to_string(list_sort(list(DISTINCT filename)), '||') AS filenames"
+
+
+@query("""WITH s AS (SELECT curie FROM edge WHERE curie IS NOT NULL AND clique_leader IS NOT NULL AND conflation = 'None' GROUP BY curie HAVING count(DISTINCT clique_leader) > 1),
+h AS (SELECT DISTINCT curie, clique_leader, filename FROM edge WHERE clique_leader IS NOT NULL AND conflation = 'None' AND curie IN (SELECT curie FROM s)),
+r AS (SELECT h.*, biolink_type, preferred_name FROM h LEFT JOIN (SELECT DISTINCT clique_leader, biolink_type, preferred_name FROM clique) c USING (clique_leader))
+SELECT curie, array_to_string(list_sort(list(DISTINCT clique_leader)), '||') AS clique_leaders, array_to_string(list_sort(list(DISTINCT filename)), '||') AS filenames,
+  coalesce(array_to_string(list_sort(list(DISTINCT biolink_type) FILTER (biolink_type IS NOT NULL)), '||'), '') AS biolink_types, coalesce(array_to_string(list_sort(list(DISTINCT preferred_name) FILTER (preferred_name IS NOT NULL)), '||'), '') AS names FROM r GROUP BY curie""")
+def op81_duplicate_curie_lists(spark, d):
+    return reports.duplicate_curie_lists(table(spark, d, "edge"), table(spark, d, "clique"), "None")
+
+
+@query(f"SELECT clique_leader, count(*) AS n, {_FILES} FROM clique WHERE clique_leader IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
 def op82_duplicate_leaders(spark, d):
     return reports.duplicate_leaders(table(spark, d, "clique"))
 
 
-@query("SELECT clique_leader, count(DISTINCT clique_leader) AS n FROM clique WHERE clique_leader IS NOT NULL GROUP BY 1 HAVING count(DISTINCT clique_leader) > 1")
+@query(f"SELECT clique_leader, count(DISTINCT clique_leader) AS n, {_FILES} FROM clique WHERE clique_leader IS NOT NULL GROUP BY 1 HAVING count(DISTINCT clique_leader) > 1")
 def op82_duplicate_leaders_strict(spark, d):
     return reports.duplicate_leaders(table(spark, d, "clique"), strict=True)
 
@@ -640,7 +666,8 @@ def op85_label_lengths(spark, d):
 @query(f"""WITH {_MEM}, {_CT}, per AS (SELECT clique, count(*) AS ids, count(CASE WHEN label <> '' THEN 1 END) AS labels, count(DISTINCT CASE WHEN label <> '' THEN label END) AS unique_labels FROM mem GROUP BY clique)
 SELECT measure, bucket, count(*) AS n FROM (SELECT 'type' AS measure, type AS bucket FROM ct UNION ALL SELECT 'prefix', {_pfx('curie')} FROM mem UNION ALL SELECT 'ids', ids::VARCHAR FROM per UNION ALL SELECT 'labels', labels::VARCHAR FROM per UNION ALL SELECT 'unique_labels', unique_labels::VARCHAR FROM per) GROUP BY ALL""")
 def op86_content_histograms(spark, d):
-    return reports.content_histograms(_members(spark, d), _clique_types(spark, d))
+    t = _shredded(spark, d, once=True)
+    return reports.content_histograms(_members(spark, d, t), _clique_types(spark, d, t))
 
 
 @query(f"WITH {_E}, f AS (SELECT filename, prefix, count(*) AS n FROM e GROUP BY ALL) SELECT prefix, sum(n)::BIGINT AS n FROM f GROUP BY prefix")
@@ -746,8 +773,9 @@ def op101_synonym_table(spark, d):
 @query(f"""WITH {_MEM}, {_NAME}, {_CT}, g AS (SELECT clique, arg_min(curie, pos) AS id, string_agg(curie, '|' ORDER BY pos, curie) AS equivalents FROM mem GROUP BY clique)
 SELECT id, preferred_name AS name, type AS category, equivalents FROM g LEFT JOIN pn USING (clique) LEFT JOIN ct USING (clique)""")
 def op102_graph_nodes(spark, d):
-    m = _members(spark, d)
-    return sinks.graph_nodes(m, nodes.preferred_name(m, BOOSTED), _clique_types(spark, d))
+    t = _shredded(spark, d, once=True)
+    m = _members(spark, d, t)
+    return sinks.graph_nodes(m, nodes.preferred_name(m, BOOSTED), _clique_types(spark, d, t))
 
 
 @query(f"WITH {_MEM} SELECT md5(a.curie || b.curie || 'compendium') AS id, a.curie AS subject, 'biolink:same_as' AS predicate, b.curie AS object FROM mem a JOIN mem b ON a.clique = b.clique AND a.pos < b.pos")

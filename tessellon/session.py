@@ -46,9 +46,9 @@ class Scratch:
         self.id = f"{label}_{uuid.uuid4().hex[:12]}"
         self.root = f"{shared_dir(spark).rstrip('/')}/tessellon/{self.id}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def bucketed(self, df: DataFrame, name: str, buckets: int, key: str, first: tuple[str, ...] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COMPENDIUM_SCHEMA = "type STRING, ic DOUBLE, identifiers ARRAY<STRUCT<i: STRING, l: STRING, d: ARRAY<STRING>, t: ARRAY<STRING>>>, preferred_name STRING, taxa ARRAY<STRING>"
@@ -56,16 +56,23 @@ def training_pairs(docs: DataFrame, most: int = 50) -> DataFrame:
     pipes collapsed to one inside a name.
 
     No name: nothing. One distinct name: a row with it twice. Else pairs of distinct names, at most ``most`` per document,
-    chosen by a hash (the sampling is the export's own feature).
+    evenly spread over all pairs from a start that its identifier decides (the sampling is the export's own feature). Pairs are
+    numbered and only the chosen numbers are made into rows.
     """
     clean = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\|\|+", "|")))
     d = docs.where("preferred_name IS NOT NULL AND preferred_name <> ''").withColumn("n", F.array_sort(F.array_distinct(F.filter(F.transform("names", clean), lambda x: x.isNotNull() & (x != "")))))
-    one = d.where(F.size("n") == 1).select("curie", "type", "preferred_name", F.col("n")[0].alias("a"), F.col("n")[0].alias("b"))
-    first = d.where(F.size("n") > 1).select("curie", "type", "preferred_name", "n", F.posexplode("n").alias("i", "a"))
-    two = first.select("curie", "type", "preferred_name", "a", F.explode(F.slice("n", F.col("i") + 2, F.size("n"))).alias("b"))
-    w = Window.partitionBy("curie").orderBy(F.xxhash64("a", "b"), "a", "b")
-    two = two.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).drop("k")
-    return one.unionByName(two).select("curie", F.concat_ws("||", "type", "curie", clean(F.col("preferred_name")), "a", "b").alias("line"))
+    d = d.where(F.size("n") > 0).select("curie", "type", "preferred_name", "n", F.size("n").cast("bigint").alias("k"), F.expr("size(n) * (size(n) - 1L) div 2").alias("pairs"))
+    d = d.withColumn("step", F.greatest(F.lit(1).cast("bigint"), F.expr(f"pairs div {most}")))
+    d = d.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(1).cast("bigint"), F.least("pairs", F.lit(most).cast("bigint"))) - 1)))
+    number = F.when(F.col("pairs") > 0, F.pmod(F.pmod(F.xxhash64("curie"), F.col("pairs")) + F.col("j") * F.col("step"), F.col("pairs")))
+    d = d.withColumn("number", number)
+    # pair (a, b), a < b, number a * (2k - a - 1) / 2 + (b - a - 1)
+    guess = F.floor(((2 * F.col("k") - 1) - F.sqrt((2 * F.col("k") - 1) * (2 * F.col("k") - 1) - 8 * F.col("number"))) / 2)
+    before = lambda a: a * (2 * F.col("k") - a - 1) / 2
+    d = d.withColumn("g", guess).withColumn("a", F.when(before(F.col("g")) > F.col("number"), F.col("g") - 1).when(before(F.col("g") + 1) <= F.col("number"), F.col("g") + 1).otherwise(F.col("g")))
+    b = (F.col("number") - before(F.col("a"))).cast("bigint") + F.col("a") + 1
+    first, second = F.get("n", F.coalesce("a", F.lit(0)).cast("int")), F.get("n", F.coalesce(b, F.lit(0)).cast("int"))
+    return d.select("curie", F.concat_ws("||", "type", "curie", clean(F.col("preferred_name")), first, second).alias("line"))
 
 
 def write_json_lines(df: DataFrame, path: str, compressed: bool = True) -> None:

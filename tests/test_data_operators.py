@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tessellon.functions import curie
 from tessellon.functions.curie import plain_curie, plain_value
 from tessellon.operators import badrows, nested, orphans, reports, skew, snapshots
 from tessellon.plans.data_queries import NUMERIC
@@ -24,6 +25,18 @@ def test_curies(spark):
     assert got == [("CHEBI:1", "CHEBI:1"), (None, "CHEBI_1"), ("A:b:c", "A:b:c"), (None, None), (None, None), ("MESH:x", "MESH:x")]
 
 
+def test_curie_forms(spark):
+    df = spark.createDataFrame([("msh:D1 (x)",), ("http://x.org/obo/CL_1",), ("https://id.org/mesh/D2",), ("plain",), (None,), ("EC:",), ("a:2",), ("a:10",)], "c string")
+    stems = {"https://id.org/mesh/": "MESH", "https://id.org/": "X"}
+    got = [tuple(r) for r in df.select(curie.normal_xref("c", {"MSH": "MESH"}), curie.iri_to_curie("c", stems), curie.recurie("c", {"msh": "MESH"})).collect()]
+    assert got == [
+        ("MESH:D1", "msh:D1 (x)", "MESH:D1 (x)"), ("http://x.org/obo/CL_1", "CL:1", "http://x.org/obo/CL_1"), ("https://id.org/mesh/D2", "MESH:D2", "https://id.org/mesh/D2"), (None, None, "plain"), (None, None, None),
+        (None, "EC:", "EC:"), ("a:2", "a:2", "a:2"), ("a:10", "a:10", "a:10"),
+    ]
+    assert [r["c"] for r in df.where("c LIKE 'a:%' OR c LIKE 'EC%'").orderBy(*curie.suffix_order("c")).collect()] == ["a:2", "a:10", "EC:"]
+    assert [r["c"] for r in curie.once(df).where("c = 'plain'").collect()] == ["plain"]
+
+
 # --- nested ----------------------------------------------------------------------------------------
 def test_recursive_elements_to_any_depth(spark):
     graph = nested.SchemaGraph("record", [nested.Edge("record", "part", "part", True), nested.Edge("part", "part", "part", True), nested.Edge("part", "n", "n")])
@@ -63,6 +76,25 @@ def test_shred(spark):
     assert t["description"].where("line_id = 7").first()["value"] == long_text
 
 
+@pytest.mark.parametrize("written", [False, True])
+def test_rows_name_their_parents(spark, scratch, written):
+    """Both identifier arrays of a line hold a place 0; the description of each names its own parent."""
+    line = '{"identifiers": [{"i": "A:1", "d": "a"}], "equivalent_identifiers": [{"identifier": "B:1", "d": ["b", "c"]}]}'
+    t = nested.shred(spark.createDataFrame([(1, line)], "line_id long, raw_line string"), "line_id", "raw_line", nested.COMPENDIUM, scratch if written else None)
+    members = t["identifier"].select("row_id", F.coalesce("i", "identifier").alias("curie"))
+    got = t["description"].join(members, t["description"]["parent_id"] == members["row_id"]).select("curie", "value")
+    assert rows(got, "curie", "value") == [("A:1", "a"), ("B:1", "b"), ("B:1", "c")]
+    assert rows(t["identifier"], "parent_id", "pos") == [("", 0), ("", 0)]
+
+
+def test_records_in_records(spark):
+    g = nested.SchemaGraph("a", [nested.Edge("a", "kids", "a", True, "kid"), nested.Edge("a", "name", "name")])
+    df = spark.createDataFrame([(1, '{"name": "x", "kids": [{"name": "y", "kids": [null, {"name": "z"}]}, {"name": "w"}]}')], "k int, j string")
+    t = nested.shred(df, "k", "j", g)["a"].collect()
+    name = {r["row_id"]: r["name"] for r in t}
+    assert sorted((r["name"], r["pos"], name.get(r["parent_id"])) for r in t) == [("w", 1, "x"), ("x", -1, None), ("y", 0, "x"), ("z", 1, "y")]
+
+
 def test_shred_recursive_and_empty(spark):
     g = nested.SchemaGraph("a", [nested.Edge("a", "kids", "n", True, "n"), nested.Edge("n", "kids", "n", True, "n"), nested.Edge("n", "name", "name")])
     df = spark.createDataFrame([(1, '{"kids": [{"name": "x", "kids": [{"name": "y", "kids": [{"name": "z"}]}]}]}')], "k int, j string")
