@@ -144,8 +144,12 @@ def groups(links: DataFrame, members: DataFrame, scratch: Scratch, max_degree: i
     own. Repeated, reversed and self links change nothing. Empty input gives no rows; columns other than
     the three are ignored.
     """
-    real = links.where("left IS NOT NULL AND right IS NOT NULL AND left <> right").select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
-    real = scratch.write(real, "links")
+    # the ends are computed once and the inputs read once: pairs that link nothing stay in the table for their lone ends
+    ok = F.coalesce(F.col("left") != F.col("right"), F.lit(False))
+    low, high = F.when(ok, F.least("left", "right")).otherwise(F.col("left")), F.when(ok, F.greatest("left", "right")).otherwise(F.col("right"))
+    pairs = links.select(low.alias("left"), high.alias("right"), ok.alias("ok")).distinct()
+    pairs = scratch.write(pairs, "links")
+    real = pairs.where("ok").select("left", "right")
     ends = real.select(F.explode(F.array("left", "right")).alias("member")).distinct()
     # dense ids: written once, so that every later read sees the same
     ids = scratch.write(ends.select("member", F.monotonically_increasing_id().alias("v")), "ids")
@@ -157,6 +161,6 @@ def groups(links: DataFrame, members: DataFrame, scratch: Scratch, max_degree: i
     # written, so that both sides of the join are plain scans and a root with very many members can be split among tasks
     least = scratch.write(rooted.groupBy("root").agg(F.min("member").alias("group_id")), "least")
     linked = rooted.join(least, "root").select("member", "group_id")
-    alone = members.select("member").unionByName(links.select(F.explode(F.array("left", "right")).alias("member")))
+    alone = members.select("member").unionByName(pairs.where("NOT ok").select(F.explode(F.array("left", "right")).alias("member")))
     alone = alone.where(F.col("member").isNotNull()).distinct().join(ids.select("member"), "member", "left_anti")
     return linked.unionByName(alone.select("member", F.col("member").alias("group_id")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellon.functions.curie import not_blank, plain_curie, trim_ws
+from tessellon.functions.curie import not_blank, once, plain_curie, trim_ws
 from tessellon.llm import groups, leak, mix, sentences, survivor
 from tessellon.operators import nested
 from tessellon.plans.data_sql import _IDENTS, plain, present, trim
@@ -19,7 +19,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Group of every CURIE in the pairs."""
     links = None
     for name, a, b in PAIRS:
-        part = table(spark, d, name).select(plain_curie(a).alias("left"), plain_curie(b).alias("right"))
+        part = once(table(spark, d, name).select(plain_curie(a).alias("left"), plain_curie(b).alias("right")))
         links = part if links is None else links.unionByName(part)
     none = links.select(F.col("left").alias("member")).where(F.lit(False))
     return groups.groups(links, none, Scratch(spark, "p1")).withColumnRenamed("member", "curie")
@@ -43,14 +43,14 @@ def _name_present():
 def _survivor_rows(spark: SparkSession, d: str) -> DataFrame:
     """clique rows with their leader in plain form and their provider's trust (five known providers; 0 for any other)."""
     rank = table(spark, d, "provider_rank").where(F.col("provider").isNotNull()).groupBy("provider").agg(F.max("trust").alias("trust"))
-    rows = table(spark, d, "clique").withColumn("leader", plain_curie("clique_leader")).where(F.col("leader").isNotNull())
+    rows = once(table(spark, d, "clique").withColumn("leader", plain_curie("clique_leader"))).where(F.col("leader").isNotNull())
     return rows.join(rank, "provider", "left").withColumn("trust", F.coalesce("trust", F.lit(0)))
 
 
 def _ident_lines(spark: SparkSession, d: str) -> DataFrame:
     """leader, ident_line: the compendium line whose first identifier is the leader, with most distinct CURIEs."""
     t = nested.shred(table(spark, d, "compendium_jsonl"), "line_id", "raw_line", nested.COMPENDIUM)["identifier"]
-    t = t.select("line_id", "pos", plain_curie(F.coalesce("i", "identifier", "value")).alias("curie"))
+    t = once(t.select("line_id", "pos", plain_curie(F.coalesce("i", "identifier", "value")).alias("curie")))
     lines = t.groupBy("line_id").agg(F.min_by("curie", "pos").alias("leader"), F.count_distinct("curie").alias("n"))
     return lines.where(F.col("leader").isNotNull()).groupBy("leader").agg(F.max_by("line_id", F.struct("n", -F.col("line_id"))).alias("ident_line"))
 
