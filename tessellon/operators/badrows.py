@@ -56,24 +56,59 @@ def symbols(line: str) -> list[tuple[str, int, str]]:
     return [({"\t": "T", '"': "Q"}.get(m.group(), "X"), m.start(), m.group()) for m in re.finditer(r'[^\t"]+|\t|"', line)]
 
 
+def strict_fields(line: str) -> list[str] | None:
+    """Fields of the reading without operations; None where the automaton stops or ends in a quotation."""
+    if '"' not in line:
+        return line.split("\t")
+    state, fields, now = _START, [], []
+    for kind, _, text in symbols(line):
+        to = _step(state, kind)
+        if to is None:
+            return None
+        if to[1]:
+            fields.append("".join(now))
+            now = []
+        elif not (kind == "Q" and (state == _START or to[0] == _CLOSED)):
+            now.append(text)
+        state = to[0]
+    return None if state == _QUOTED else [*fields, "".join(now)]
+
+
 _CURIE = re.compile(f"[^:{WS_CLASS}]+:[^{WS_CLASS}]+")
 _FITS = {"curie": lambda x: _CURIE.fullmatch(x) is not None, "text": lambda x: any(c.isalnum() for c in x), "url": lambda x: x == "" or re.fullmatch(r"https?://\S*", x) is not None}
 
 
 class _Cell:
-    """The cheapest way to a state and column: cost (inside, end, misfits, tabs), the field read so far, fields, operations."""
+    """The cheapest way to a state and column: cost (inside, end, misfits, tabs), the field read so far, operations."""
 
-    __slots__ = ("cost", "now", "fields", "path")
+    __slots__ = ("cost", "now", "path")
 
-    def __init__(self, cost: tuple[int, int, int, int], now: tuple, fields: tuple, path: tuple):
-        self.cost, self.now, self.fields, self.path = cost, now, fields, path
+    def __init__(self, cost: tuple[int, int, int, int], now: tuple, path: tuple):
+        self.cost, self.now, self.path = cost, now, path
 
 
 def error_parse(line: str, checks: tuple[str, ...]) -> tuple[list[str] | None, str | None, list[str]]:
     """(fields, reason, operations) of the cheapest parse into as many columns as there are ``checks``; fields are null
-    where there is a reason. O(symbols * columns). Surplus columns are held in one state past the last column."""
+    where there is a reason.
+
+    Costs are explored from the least: first the one reading without operations inside the line, then the table
+    of all with one at most, two, four and so on, until one reaches the end. O(symbols * columns) a table.
+    """
+    fields, width = strict_fields(line), len(checks)
+    if fields is not None:
+        more = len(fields) - width
+        return (fields, None, []) if not more else (None, "column_count", ["drop column"] * more + ["append column"] * -more)
+    syms, limit = symbols(line), 1
+    while (operations := _repair(line, syms, checks, limit)) is None:
+        limit *= 2
+    return None, "quoting", operations
+
+
+def _repair(line: str, syms: list[tuple[str, int, str]], checks: tuple[str, ...], limit: int) -> list[str] | None:
+    """Operations of the cheapest parse with ``limit`` of them at most inside the line; None where there is no such parse.
+    Surplus columns are held in one state past the last column."""
     width = len(checks)
-    cells = {(_START, 0): _Cell((0, 0, 0, 0), (), (), ())}
+    cells = {(_START, 0): _Cell((0, 0, 0, 0), (), ())}
 
     def moved(cell: _Cell, state: int, n: int, symbol: str, text: str) -> tuple[tuple[int, int], _Cell] | None:
         to = _step(state, symbol)
@@ -82,12 +117,12 @@ def error_parse(line: str, checks: tuple[str, ...]) -> tuple[list[str] | None, s
         inside, end, misfits, tabs = cell.cost
         if not to[1]:
             mute = symbol == "Q" and (state == _START or to[0] == _CLOSED)  # an enclosing quote, or the first of two
-            return (to[0], n), _Cell(cell.cost, cell.now if mute else (cell.now, text), cell.fields, cell.path)
+            return (to[0], n), _Cell(cell.cost, cell.now if mute else (cell.now, text), cell.path)
         if n < width:
             misfits += not _FITS.get(checks[n], _any)(_joined(cell.now))
         surplus = n + 1 >= width
         path = (cell.path, "drop column") if surplus else cell.path
-        return (to[0], min(n + 1, width)), _Cell((inside, end + surplus, misfits, tabs), (), (cell.fields, cell.now), path)
+        return (to[0], min(n + 1, width)), _Cell((inside, end + surplus, misfits, tabs), (), path)
 
     def relax(table: dict, found: tuple[tuple[int, int], _Cell] | None) -> bool:
         if found is None or (found[0] in table and table[found[0]].cost <= found[1].cost):
@@ -97,23 +132,25 @@ def error_parse(line: str, checks: tuple[str, ...]) -> tuple[list[str] | None, s
 
     def edited(cell: _Cell, what: str, symbol: str, at: int) -> _Cell:
         inside, end, misfits, tabs = cell.cost
-        return _Cell((inside + 1, end, misfits, tabs + (symbol == "T")), cell.now, cell.fields, (cell.path, f"{what} {_NAMES[symbol]} at {at}"))
+        return _Cell((inside + 1, end, misfits, tabs + (symbol == "T")), cell.now, (cell.path, f"{what} {_NAMES[symbol]} at {at}"))
 
     def insertions(table: dict, at: int) -> None:
-        todo = list(table)
+        todo = [k for k, cell in table.items() if cell.cost[0] < limit]
         while todo:
             state, n = todo.pop()
+            if table[state, n].cost[0] >= limit:
+                continue
             for symbol, text in (("Q", '"'), ("T", "\t")):
                 found = moved(edited(table[state, n], "insert", symbol, at), state, n, symbol, text)
                 if relax(table, found):
                     todo.append(found[0])
 
-    for symbol, at, text in symbols(line):
+    for symbol, at, text in syms:
         insertions(cells, at)
         nxt: dict = {}
         for (state, n), cell in cells.items():
             relax(nxt, moved(cell, state, n, symbol, text))
-            if symbol != "X":
+            if symbol != "X" and cell.cost[0] < limit:
                 relax(nxt, ((state, n), edited(cell, "delete", symbol, at)))
         cells = nxt
     insertions(cells, len(line))
@@ -124,19 +161,14 @@ def error_parse(line: str, checks: tuple[str, ...]) -> tuple[list[str] | None, s
             inside, end, misfits, tabs = cell.cost
             misfits += n < width and not _FITS.get(checks[n], _any)(_joined(cell.now))
             ends.append(((inside, end + missing, misfits, tabs), n, state, missing, cell))
-    (inside, end, _, _), _, _, missing, cell = min(ends, key=lambda e: e[:3])
+    if not ends:
+        return None
+    _, _, _, missing, cell = min(ends, key=lambda e: e[:3])
     path, operations = cell.path, []
     while path:
         path, what = path
         operations.append(what)
-    operations = operations[::-1] + ["append column"] * missing
-    if inside or end:
-        return None, "quoting" if inside else "column_count", operations
-    fields, chain = [_joined(cell.now)], cell.fields
-    while chain:
-        chain, now = chain
-        fields.append(_joined(now))
-    return fields[::-1], None, []
+    return operations[::-1] + ["append column"] * missing
 
 
 def _any(_: str) -> bool:
