@@ -33,8 +33,8 @@ MAX_SHIFT = 6
 STAY = 0.6
 #: Links of one vertex before it is split.
 MAX_DEGREE = 50_000
-#: Links that one task joins at the end of the recursion (16 bytes each).
-FOREST_LINKS = 20_000
+#: Links that one task joins at the end of the recursion (under 40 MB of Python objects).
+FOREST_LINKS = 100_000
 _ONE = 1 << 58  # one unit of shift in a key; ids lie below
 _SUB = 1 << 57  # ids of sub-vertices start here
 _SUBS = 1 << 50  # ids set aside for the sub-vertices of a level
