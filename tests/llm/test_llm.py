@@ -247,15 +247,34 @@ def test_no_sentences():
 
 
 def test_prefix_scan():
+    """Composed functions lead where reading event by event does, from every state and number of open brackets."""
     r = np.random.default_rng(0)
-    found = [[(int(e), 0) for e in r.integers(0, len(sentences.EVENTS), 7)] for _ in range(13)]
+    found = [[(int(e), 0) for e in r.choice([sentences._UNIT, sentences._IN, *sentences._OUT, *r.integers(0, len(sentences.EVENTS), 4)], 9, p=[0.04, 0.3, 0.15, 0.15, 0.09, 0.09, 0.09, 0.09])] for _ in range(13)]
     scan = sentences.compose([sentences.transition(f) for f in found])
     for s in range(len(sentences.DELTA)):
-        at = s
-        for f, got in zip(found, scan):
-            for e, _ in f:
-                at = int(sentences.DELTA[at, e])
-            assert got[s] == at
+        for start in (0, 1, 5):
+            at, depth = s, start
+            for f, (to, a, b) in zip(found, scan):
+                for e, _ in f:
+                    at = int(sentences.DELTA[at, e])
+                    depth = 0 if e == sentences._UNIT else depth + 1 if e == sentences._IN else max(0, depth - 1) if e in sentences._OUT else depth
+                assert to[s] == at and depth == (b if a is None else max(start + a, b))
+
+
+@pytest.mark.parametrize("n", [100, 3000, 30_000])
+def test_quotations_and_brackets_of_any_size(n):
+    """No distance and no depth makes a quotation or bracket plain text."""
+    inside = "One thing. " * (n // 11)
+    assert len(sentences.sentences(f'He said "{inside}end" and left. Next.')) == 2
+    assert len(sentences.sentences(f"It is ({inside}end) so. Next.")) == 2
+    deep = "(" * (n // 100) + "a. B. C" + ")" * (n // 100)
+    assert len(sentences.sentences(f"Deep {deep} here. Next one.")) == 2
+    assert len(sentences.sentences(f'An open "quote {inside}')) > n // 11 - 2
+
+
+def test_scripts_with_marks_of_their_own():
+    for text in ("یہ پہلا ہے۔ یہ دوسرا ہے۔", "Սա առաջինն է։ Սա երկրորդն է։", "ይህ አንድ ነው። ይህ ሁለት ነው።", "ဒါကတစ်ပါ။ ဒါကနှစ်ပါ။", "នេះជាទីមួយ។ នេះជាទីពីរ។"):
+        assert len(sentences.sentences(text)) == 2
 
 
 def test_chunks_change_nothing(spark):
@@ -264,6 +283,8 @@ def test_chunks_change_nothing(spark):
     text = "".join(r.choice(parts) + r.choice([" ", "\n", "\n\n", "  "]) for _ in range(400))
     df = spark.createDataFrame([(1, text, 0), (2, "Short one. Two.", 0), (3, None, 0), (4, "x" * 9000, 0)], "doc_id long, text string, sent_no int")
     whole = rows(sentences.split_sentences(df, "doc_id", "text"), "doc_id", "sent_no", "begin_pos", "end_pos")
-    for size in (3000, 5000):
+    for size in (40, 333, 5000):
+        assert sentences.sentences(text, size) == [r[2:] for r in sorted(whole) if r[0] == 1]
+    for size in (700, 5000):
         assert rows(sentences.split_sentences(df, "doc_id", "text", size), "doc_id", "sent_no", "begin_pos", "end_pos") == whole
     assert sentences.split_sentences(df.limit(0), "doc_id", "text").count() == 0
