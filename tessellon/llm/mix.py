@@ -4,13 +4,15 @@ Sizes are tokens of a public tokenizer. Each source's quota follows from its tar
 the mixture and how often the source may repeat; what capped sources cannot give, the others give in
 proportion to their shares. The mixture is cut into blocks; block k of a source with weight w has the
 release floor(k / w) and the deadline ceil((k + 1) / w), and earliest deadline first interleaves the
-sources so that none is ever a whole block off its share. Only block counts are scheduled on the driver
-(``MAX_BLOCKS`` at most); documents find their block by a two-level prefix sum of token counts.
+sources so that none is ever a whole block off its share. The order of blocks is a stream that one task writes
+(it holds a heap with a row per source); documents find their block by a two-level prefix sum of token counts.
+Neither the size of a block nor the order depends on how much there is to mix.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import os
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
@@ -26,9 +28,9 @@ if TYPE_CHECKING:
 
 TOKENIZER = os.environ.get("TESSELLON_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 BLOCK_TOKENS = 4096
-MAX_BLOCKS = 50_000
-#: Pieces of each source for the prefix sums.
-SHARDS = 256
+#: Documents of a piece of a source for the prefix sums, on average. Pieces are ranges of the documents' hashes, so
+#: their number changes no order.
+PIECE_DOCS = 50_000
 
 
 def source_name(c: str) -> Column:
@@ -80,7 +82,7 @@ def quotas(available: dict[str, int], shares: dict[str, float], repeats: dict[st
     return {s: out.get(s, 0) for s in shares}
 
 
-def schedule(blocks: dict[str, int]) -> list[tuple[str, int]]:
+def schedule(blocks: dict[str, int]) -> Iterator[tuple[str, int]]:
     """Order of (source, block number) by Pfair earliest deadline first; whole-number arithmetic.
 
     With weight w = blocks / total: block k may run from slot floor(k / w) on and must by ceil((k + 1) / w).
@@ -89,16 +91,27 @@ def schedule(blocks: dict[str, int]) -> list[tuple[str, int]]:
     waiting = [(0, s, 0) for s, n in sorted(blocks.items()) if n]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    out = []
     for slot in range(total):
         while waiting and waiting[0][0] <= slot:
             _, s, k = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(k + 1) * total // blocks[s]), s, k))
         _, s, k = heapq.heappop(ready)
-        out.append((s, k))
+        yield s, k
         if k + 1 < blocks[s]:
             heapq.heappush(waiting, ((k + 1) * total // blocks[s], s, k + 1))
-    return out
+
+
+def _ordered(blocks: dict[str, int], batch: int = 100_000):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
+        for _ in batches:
+            order, at = schedule(blocks), 0
+            while part := list(itertools.islice(order, batch)):
+                yield pd.DataFrame({"slot": range(at, at + len(part)), "source": [s for s, _ in part], "block": [k for _, k in part]})
+                at += len(part)
+
+    return run
 
 
 def mix(docs: DataFrame, targets: DataFrame, scratch: Scratch, total: int | None = None, seed: int = 7, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
@@ -114,22 +127,25 @@ def mix(docs: DataFrame, targets: DataFrame, scratch: Scratch, total: int | None
     goals = [r for r in targets.where(F.col("source").isNotNull()).dropDuplicates(["source"]).collect()]  # a row per source
     shares, repeats = {r["source"]: r["target_share"] or 0.0 for r in goals}, {r["source"]: r["max_repeats"] or 0 for r in goals}
     rows = docs.where(F.col("source").isin(*shares) & (F.col("tokens") > 0) & F.col("id").isNotNull()).select("id", "source", "tokens")
-    rows = scratch.write(rows.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(SHARDS)).cast("int")), "docs")
-    per_shard = rows.groupBy("source", "shard").agg(F.sum("tokens").alias("n"))  # sources * SHARDS rows at most
+    rows = scratch.write(rows.withColumn("place", F.xxhash64("id", F.lit(seed))), "docs")
+    pieces = 1 << max(0, (rows.count() // PIECE_DOCS).bit_length())
+    # the top bits of the hash: pieces are ranges of the order inside a source
+    rows = rows.withColumn("shard", F.shiftrightunsigned("place", 64 - pieces.bit_length() + 1) if pieces > 1 else F.lit(0).cast("bigint"))
+    rows = rows.withColumn("unsigned", F.col("place").bitwiseXOR(F.lit(-(1 << 63))))
+    per_shard = scratch.write(rows.groupBy("source", "shard").agg(F.sum("tokens").alias("n")), "pieces")  # a row for PIECE_DOCS documents
     before = per_shard.select("source", "shard", (F.sum("n").over(Window.partitionBy("source").orderBy("shard")) - F.col("n")).alias("before"))
     available = {r["source"]: r["n"] for r in per_shard.groupBy("source").agg(F.sum("n").alias("n")).collect()}
     want = quotas(available, shares, repeats, sum(available.values()) if total is None else total)
-    size = max(block_tokens, -(-sum(want.values()) // (MAX_BLOCKS - len(want))))
-    blocks = {s: -(-n // size) for s, n in want.items()}
-    order = spark.createDataFrame([(i, s, k) for i, (s, k) in enumerate(schedule(blocks))], "slot long, source string, block long")
-    inside = Window.partitionBy("source", "shard").orderBy(F.xxhash64("id", F.lit(seed + 1)), "id")
-    # a shard is a 256th of a source: no task holds a whole source
+    blocks = {s: -(-n // block_tokens) for s, n in want.items()}
+    order = spark.range(1, numPartitions=1).mapInPandas(_ordered(blocks), "slot long, source string, block long")
+    order = scratch.write(order, "order")
+    inside = Window.partitionBy("source", "shard").orderBy("unsigned", "id")
     at = rows.withColumn("own", F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
-    at = at.join(F.broadcast(before), ["source", "shard"]).withColumn("place", F.col("before") + F.col("own"))
+    at = at.join(before, ["source", "shard"]).withColumn("start", F.col("before") + F.col("own"))
     plan = spark.createDataFrame([(s, want[s], available.get(s, 0)) for s in want if want[s]], "source string, quota long, held long")
     copies = at.join(F.broadcast(plan), "source").withColumn("pass_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(quota - 1) div held"))))
-    copies = copies.withColumn("offset", F.col("pass_no") * F.col("held") + F.col("place")).where(F.col("offset") < F.col("quota"))
-    mixed = copies.withColumn("block", F.expr(f"offset div {size}")).join(F.broadcast(order), ["source", "block"])
+    copies = copies.withColumn("offset", F.col("pass_no") * F.col("held") + F.col("start")).where(F.col("offset") < F.col("quota"))
+    mixed = copies.withColumn("block", F.expr(f"offset div {block_tokens}")).join(order, ["source", "block"])
     mixture = scratch.write(mixed.select("slot", "source", F.col("pass_no").cast("int").alias("pass_no"), "id", "tokens", "offset"), "mixture")
     used = mixture.groupBy("source").agg(F.sum("tokens").alias("used"), (F.max("pass_no") + 1).alias("passes"))
     facts = spark.createDataFrame([(s, float(shares[s]), repeats[s], available.get(s, 0)) for s in shares], "source string, target_share double, max_repeats int, available long")

@@ -179,7 +179,7 @@ def test_quotas():
 
 def test_schedule_stays_within_a_block():
     blocks = {"a": 57, "b": 31, "c": 12, "d": 1, "e": 0}
-    order = mix.schedule(blocks)
+    order = list(mix.schedule(blocks))
     total, done = sum(blocks.values()), Counter()
     assert Counter(s for s, _ in order) == Counter({k: v for k, v in blocks.items() if v})
     for t, (s, k) in enumerate(order, 1):
@@ -204,6 +204,17 @@ def test_mix(spark, scratch):
     assert empty.count() == 0 and all(x["actual_share"] == 0 for x in rep0.collect())
 
 
+def test_pieces_change_no_order(spark, scratch, monkeypatch):
+    docs = [(i, f"s{i % 3}", 1 + i % 50) for i in range(2000)]
+    df = spark.createDataFrame([(*d, 1) for d in docs], "id long, source string, tokens long, before int")
+    goals = spark.createDataFrame([("s0", 0.5, 2), ("s1", 0.3, 2), ("s2", 0.2, 2)], "source string, target_share double, max_repeats int")
+    got = []
+    for size in (50_000, 100):
+        monkeypatch.setattr(mix, "PIECE_DOCS", size)
+        got.append(rows(mix.mix(df, goals, scratch, block_tokens=300)[0], "slot", "source", "offset", "pass_no", "id"))
+    assert got[0] == got[1] and len(got[0]) > 1500
+
+
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "Hello world", " Term-Definitions "), (2, "", "a"), (3, None, "a"), (4, "<|endoftext|>", None)], "id long, text string, source string")
     got = {x["id"]: (x["source"], x["tokens"]) for x in mix.token_counts(df, "id", "text", mix.source_name("source")).collect()}
