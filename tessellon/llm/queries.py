@@ -69,12 +69,36 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return best.where("n >= 2").join(_ident_lines(spark, d), "leader", "left").select(F.col("leader").alias("clique_leader"), "name_row", "ic_row", "ident_line")
 
 
+def _claims(spark: SparkSession, d: str) -> DataFrame:
+    """field_name, item, source, value: who claims what of a leader's name, information content and identifiers.
+
+    Providers of clique claim names and contents; the compendium's lines claim names, contents and the set of identifiers, each
+    release being a source. A source is judged field by field, so its name carries the field's.
+    """
+    rows = _survivor_rows(spark, d)
+    ic = F.col("information_content").cast("double")
+    provider = F.coalesce("provider", F.lit(""))
+    claim = lambda df, field, leader, source, value: df.select(F.lit(field).alias("field_name"), leader.alias("item"), source.alias("source"), value.cast("string").alias("value"))
+    own = F.col("leader")
+    name = F.when(_name_present(), trim_ws("preferred_name"))
+    content = lambda c: F.when((c >= 0) & (c <= 100) & ~F.isnan(c), F.round(c, 4))
+    out = claim(rows, "preferred_name", own, provider, name).unionByName(claim(rows, "information_content", own, provider, content(ic)))
+    lines = table(spark, d, "compendium_jsonl")
+    t = nested.shred(lines, "line_id", "raw_line", nested.COMPENDIUM, Scratch(spark, "p6s"))
+    members = once(t["identifier"].select("line_id", "pos", plain_curie(F.coalesce("i", "identifier", "value")).alias("curie")))
+    sets = members.groupBy("line_id").agg(F.min_by("curie", "pos").alias("leader"), F.array_join(F.array_sort(F.collect_set("curie")), "|").alias("identifiers"))  # a line's own members
+    facts = t["record"].select("line_id", F.coalesce("preferred_name", "id_label").alias("preferred_name"), F.col("ic").try_cast("double").alias("ic"))
+    lines = sets.join(facts, "line_id").join(lines.select("line_id", "release_tag"), "line_id")
+    release = F.concat(F.lit("compendium "), F.coalesce("release_tag", F.lit("")))
+    out = out.unionByName(claim(lines, "preferred_name", own, release, name)).unionByName(claim(lines, "information_content", own, release, content(F.col("ic")))).unionByName(claim(lines, "identifiers", own, release, F.col("identifiers")))
+    return out.where("item IS NOT NULL AND value IS NOT NULL")
+
+
 def p6_fused(spark: SparkSession, d: str) -> DataFrame:
-    """Name of each leader with the greatest posterior, by fusion of the providers' claims with copy detection."""
-    rows = _survivor_rows(spark, d).where(_name_present())
-    claims = rows.select(F.col("leader").alias("item"), F.coalesce("provider", F.lit("")).alias("source"), trim_ws("preferred_name").alias("value"))
+    """Name, information content and identifiers of each leader with the greatest posterior, by fusion with copy detection."""
+    claims = _claims(spark, d).select(F.struct("field_name", "item").alias("item"), F.concat_ws("/", "field_name", "source").alias("source"), "value")
     out = survivor.fuse(claims, Scratch(spark, "p6"))
-    return out.select(F.col("item").alias("clique_leader"), F.col("value").alias("preferred_name"), F.round("posterior", 6).alias("posterior"), "votes")
+    return out.select(F.col("item.item").alias("clique_leader"), "item.field_name", "value", F.round("posterior", 6).alias("posterior"), "votes")
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:

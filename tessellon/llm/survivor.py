@@ -36,8 +36,9 @@ def fuse(
     values an item is taken to have, ``copy_prior`` the prior chance that one source copies from another,
     ``copy_rate`` the share of values a copier copies.
 
-    Sources are few (tens to thousands), so statistics of pairs of sources are small; claims of one item
-    meet only as counts per value and pair of sources, never as pairs of records.
+    Sources are few (tens): what pairs of sources share is counted item by item over the claims it has, one per source, so
+    the work grows with the square of an item's sources. Claims of one item meet as one claim per source, never as
+    pairs of records, however many records it has.
     """
     n = float(false_values)
     claims = claims.where("item IS NOT NULL AND source IS NOT NULL AND value IS NOT NULL").groupBy("item", "source", "value").agg(F.count("*").alias("n"))
