@@ -23,6 +23,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def names(spark: SparkSession, path: str) -> set[str]:
+    fs, p = _at(spark, path)
+    return {f.getPath().getName() for f in fs.listStatus(p)}
+
+
 def read(spark: SparkSession, path: str) -> str:
     fs, p = _at(spark, path)
     stream = fs.open(p)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import itertools
 import json
-import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessellon import files
 from tessellon.functions.curie import prefix
 from tessellon.operators.nested import parsed
 
@@ -61,8 +61,8 @@ def prefix_summary(edges: DataFrame) -> DataFrame:
     """prefix, curie_count, distinct_curies, distinct_leaders, files: the last a histogram by file, ``file=n`` joined by ``||``."""
     e = edges.where("curie IS NOT NULL").withColumn("prefix", F.coalesce(prefix("curie"), F.lit("")))
     totals = e.groupBy("prefix").agg(F.count("*").alias("curie_count"), F.count_distinct("curie").alias("distinct_curies"), F.count_distinct("clique_leader").alias("distinct_leaders"))
-    files = e.groupBy("prefix", "filename").agg(F.count("*").alias("n")).groupBy("prefix").agg(_joined(F.concat_ws("=", F.coalesce("filename", F.lit("")), F.col("n").cast("string"))).alias("files"))
-    return totals.join(files, "prefix")
+    by_file = e.groupBy("prefix", "filename").agg(F.count("*").alias("n")).groupBy("prefix").agg(_joined(F.concat_ws("=", F.coalesce("filename", F.lit("")), F.col("n").cast("string"))).alias("files"))
+    return totals.join(by_file, "prefix")
 
 
 def clique_prefix_report(edges: DataFrame) -> DataFrame:
@@ -107,9 +107,9 @@ def sum_reports(reports: DataFrame, *keys: str) -> DataFrame:
     return reports.groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
-def assert_files(folder: str, expected: list[str]) -> None:
+def assert_files(spark: SparkSession, folder: str, expected: list[str]) -> None:
     """The folder holds exactly the files expected; leftovers of a network file system (``.nfs*``) do not count."""
-    got = {f for f in os.listdir(folder) if not f.startswith(".nfs")}
+    got = {f for f in files.names(spark, folder) if not f.startswith(".nfs")}
     if got != set(expected):
         raise AssertionError(f"missing: {sorted(set(expected) - got)}, unexpected: {sorted(got - set(expected))}")
 

@@ -489,14 +489,6 @@ def op51_valid_pairs(spark, d):
     return conflation.valid_pairs(_concords(spark, d), _ids(spark, d), _sets(spark, d).select(F.col("clique").alias("curie"))).select("row_id")
 
 
-@query()
-def op52_gene_protein(spark, d):
-    p = table(spark, d, "curie_pairs").select(F.lit(0).alias("file_seq"), F.col("pair_id").alias("seq"), C.plain_curie("curie1").alias("subject"), C.plain_curie("curie2").alias("object"))
-    both = p.where(C.prefix("subject").isin("NCBIGENE", "UNIPROTKB") & C.prefix("object").isin("NCBIGENE", "UNIPROTKB"))
-    known = _ids(spark, d)
-    return conflation.gene_protein(both, known.where(C.prefix("curie") == "NCBIGENE"), known.where(C.prefix("curie") == "UNIPROTKB"), Scratch(spark, "op52"), ("NCBIGENE", "UNIPROTKB"))
-
-
 @query(f"""WITH {_CONC}, {_SETS}, a AS (SELECT curie AS aui, max(clique) AS cui FROM sets GROUP BY curie),
 r AS (SELECT CASE WHEN row_id % 3 = 0 THEN 'CUI' WHEN row_id % 3 = 1 THEN 'AUI' ELSE 'SCUI' END AS k1, subject, predicate, object FROM conc)
 SELECT CASE k1 WHEN 'CUI' THEN subject WHEN 'AUI' THEN a.cui END AS subject, predicate, b.cui AS object FROM r LEFT JOIN a ON a.aui = subject JOIN a b ON b.aui = object WHERE CASE k1 WHEN 'CUI' THEN subject WHEN 'AUI' THEN a.cui END IS NOT NULL""")

@@ -165,8 +165,8 @@ def id_mapping(rows: DataFrame, key: str, spelled: str) -> DataFrame:
 def fasta_labels(rows: DataFrame) -> DataFrame:
     """Header lines ``>db|ACC|NAME text OS=...``: curie, label."""
     h = rows.where(F.col("value").startswith(">"))
-    name = F.split(F.substr("value", F.instr("value", " ") + 1), " OS=")[0]
-    return h.select("seq", F.concat(F.lit("UniProtKB:"), F.split("value", r"\|")[1]).alias("curie"), name.alias("label"))
+    name = F.get(F.split(F.substr("value", F.instr("value", " ") + 1), " OS="), F.lit(0))
+    return h.select("seq", F.concat(F.lit("UniProtKB:"), F.get(F.split("value", r"\|"), F.lit(1))).alias("curie"), name.alias("label"))
 
 
 def mod_labels(rows: DataFrame, id_col: str, symbol: str, spelled: str) -> DataFrame:
@@ -396,16 +396,12 @@ RESIDUES = {
 }
 
 
-def _one_letter(x: str | None) -> str | None:
-    if x is None:
-        return None
-    letters = [RESIDUES.get(r.capitalize()) for r in re.findall(r"[A-Za-z]+", x)]
-    return None if not letters or None in letters else "".join(letters)
-
-
 def one_letter_sequence(c: Column | str) -> Column:
     """``Ala Arg-Gly`` to ``ARG``; null where a residue is unknown."""
-    return F.udf(_one_letter, StringType(), useArrow=True)(c)
+    names = F.regexp_extract_all(F.col(c) if isinstance(c, str) else c, F.lit(r"([A-Za-z]+)"))
+    letters = F.create_map(*[F.lit(x) for kv in RESIDUES.items() for x in kv])
+    out = F.transform(names, lambda x: F.element_at(letters, F.initcap(x)))
+    return F.when((F.size(out) > 0) & ~F.exists(out, lambda x: x.isNull()), F.array_join(out, ""))
 
 
 def flat_file(rows: DataFrame) -> DataFrame:

@@ -165,9 +165,9 @@ def test_conflated_synonyms(spark):
 def test_reports(spark, tmp_path):
     (tmp_path / "a").write_text("")
     (tmp_path / ".nfs1").write_text("")
-    reports.assert_files(str(tmp_path), ["a"])
+    reports.assert_files(spark, str(tmp_path), ["a"])
     with pytest.raises(AssertionError):
-        reports.assert_files(str(tmp_path), ["a", "b"])
+        reports.assert_files(spark, str(tmp_path), ["a", "b"])
     c = reports.flatten_counters(spark.createDataFrame([('{"a": {"b": 1, "c": {"d": 2}}, "e": 3, "f": "x"}',)], "j string"), "j")
     assert rows(c, "path", "n") == [("a.b", 1), ("a.c.d", 2), ("e", 3)]
     assert '"x": [' in reports.combined_metadata("r", [{"name": "x"}, {"name": "x"}, {"name": "y"}])
