@@ -55,16 +55,9 @@ _MARKS = re.compile("[*_]")
 
 
 @lru_cache(1)
-def _odd() -> re.Pattern:
+def _odd() -> frozenset[str]:
     """Accents and invisible characters."""
-    found, start = [], None
-    for c in range(0x110000):
-        if unicodedata.category(chr(c)) in ("Mn", "Me", "Cf"):
-            start = c if start is None else start
-        elif start is not None:
-            found.append(rf"\U{start:08x}-\U{c - 1:08x}")
-            start = None
-    return re.compile(f"[{''.join(found)}]+")
+    return frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Mn", "Me", "Cf"))
 
 
 def clean(text: str | None) -> str:
@@ -75,7 +68,9 @@ def clean(text: str | None) -> str:
         text = _TAG.sub("", _BLOCK_TAG.sub(" ", text))
     text = _MARKS.sub("", text)
     if not text.isascii():
-        text = _odd().sub("", unicodedata.normalize("NFKD", text.casefold()))
+        text = unicodedata.normalize("NFKD", text.casefold())
+        for c in _odd().intersection(text):
+            text = text.replace(c, "")
     return _GAP.sub(" ", text.casefold()).strip()
 
 
@@ -102,23 +97,33 @@ def hashed(texts: list[str], chars: bool) -> tuple[np.ndarray, np.ndarray]:
     return h ^ (h >> np.uint64(31)), owner[starts]
 
 
+_P, _P_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+_LOW = np.uint64((1 << 24) - 1)
+
+
 def winnow(h: np.ndarray, owner: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, position, hash) of the fingerprints of many texts at once, from ``hashed``."""
     none = np.array([], np.int64)
     if len(h) < unit.span:
         return none, none, none
-    grams = len(h) - unit.gram + 1
-    g = np.full(grams, unit.gram, np.uint64)  # fingerprints of two units differ
-    for j in range(unit.gram):
-        g = g * np.uint64(0x100000001B3) + h[j : j + grams]
+    # a gram's hash is a difference of two prefix sums of h * P^i, divided by P^i
+    power, inverse = (np.cumprod(np.full(len(h), x, np.uint64)) for x in (_P, _P_INVERSE))
+    sums = np.cumsum(h * power)
+    g = sums[unit.gram - 1 :].copy()
+    g[1:] -= sums[: -unit.gram]
+    g = g * inverse[: len(g)] + np.uint64(unit.gram)  # fingerprints of two units differ
     g ^= g >> np.uint64(32)
     g *= np.uint64(0xD6E8FEB86659FD93)
-    wins = grams - unit.window + 1
-    best, at = g[:wins].copy(), np.arange(wins)
-    for j in range(1, unit.window):
-        now = g[j : j + wins]
-        better = now <= best  # the rightmost of equal ones
-        best[better], at[better] = now[better], np.arange(j, j + wins)[better]
+    # the least of each window, the rightmost of equal ones: places count down in the low bits
+    place = np.arange(len(g), dtype=np.uint64)
+    least = (g & ~_LOW) | (_LOW - (place & _LOW))
+    width = 1
+    while 2 * width <= unit.window:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    if width < unit.window:
+        least = np.minimum(least[: width - unit.window], least[unit.window - width :])
+    wins = len(least)
+    at = (place[:wins] + ((_LOW - (least & _LOW) - place[:wins]) & _LOW)).astype(np.int64)
     whole = owner[:wins] == owner[unit.span - 1 : unit.span - 1 + wins]  # windows inside one text
     at = np.unique(at[whole])
     first = np.searchsorted(owner, owner[at])
