@@ -746,12 +746,21 @@ def _exported(spark, d):
     return {n: spark.read.parquet(f"{s.root}/{n}") for n in ("Clique", "Edge", "Node")}
 
 
-@query()
+_EXPORT = f"""xl AS (SELECT line_id, filename, raw_line::JSON AS j FROM compendium_jsonl WHERE raw_line IS NOT NULL),
+xa AS (SELECT line_id, filename, j, unnest([json_extract(j, '$.identifiers'), json_extract(j, '$.equivalent_identifiers')]) AS a, unnest([0, 1]) AS w FROM xl),
+xo AS (SELECT line_id, filename, j, w, CASE WHEN json_type(a) = 'VARCHAR' AND json_valid(json_extract_string(a, '$')) THEN json_extract_string(a, '$')::JSON ELSE a END AS a FROM xa WHERE a IS NOT NULL),
+xi AS (SELECT line_id, filename, j, w, unnest(range(len({_LIST.format('a')}))) AS pos, unnest({_LIST.format('a')}) AS o FROM xo),
+xm AS (SELECT line_id, filename, j, w, pos, coalesce(json_extract_string(o, '$.i'), json_extract_string(o, '$.identifier'), CASE WHEN json_type(o) <> 'OBJECT' THEN json_extract_string(o, '$') END) AS curie FROM xi WHERE json_type(o) <> 'NULL'),
+xr AS (SELECT *, first_value(curie) OVER (PARTITION BY line_id ORDER BY w, pos) AS leader FROM xm)"""
+
+
+@query(f"""WITH {_EXPORT} SELECT filename, leader AS clique_leader, coalesce(json_extract_string(j, '$.preferred_name'), json_extract_string(j, '$.id.label')) AS preferred_name, count(*)::INT AS clique_identifier_count,
+json_extract_string({_LIST.format("json_extract(j, '$.type')")}[1], '$') AS biolink_type, TRY_CAST(json_extract_string(j, '$.ic') AS DOUBLE)::FLOAT AS information_content FROM xr GROUP BY line_id, filename, leader, j""")
 def op100_exported_cliques(spark, d):
     return _exported(spark, d)["Clique"]
 
 
-@query()
+@query(f"WITH {_EXPORT} SELECT filename, leader AS clique_leader, curie, 'None' AS conflation FROM xr")
 def op100_exported_edges(spark, d):
     return _exported(spark, d)["Edge"]
 

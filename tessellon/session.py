@@ -39,7 +39,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 class Scratch:
-    """Tables written below the shared folder; a lost executor only costs a read of the files."""
+    """Tables written below the shared folder; a lost executor only costs a read of the files.
+
+    The tables stay as long as a result may read them. ``close``, or the end of a ``with`` block in which the result is
+    written, removes them all.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
@@ -54,6 +58,15 @@ class Scratch:
     def bucketed(self, df: DataFrame, name: str, buckets: int, key: str, first: tuple[str, ...] = ()) -> DataFrame:
         return files.write_bucketed(self.spark, df, f"{self.root}/{name}", buckets, key, first)
 
+    def close(self) -> None:
+        files.delete(self.spark, self.root)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
     def drop(self, name: str) -> None:
         """Delete a table that nothing will read again."""
         files.delete(self.spark, f"{self.root}/{name}")

@@ -5,7 +5,7 @@ Lines are read as text and split, as trailing empty fields must not change the c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -58,6 +58,18 @@ def concord(spark: SparkSession, path: str, file_seq: int = 0) -> DataFrame:
     return fields(lines(spark, path), "subject", "predicate", "object", at_least=3).withColumn("file_seq", F.lit(file_seq))
 
 
+def prefix_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """``type``, ``prefix``, best first: type, prefix, rank from 0. A model's table of valid prefixes, as ``nodes.ordered_members`` takes it."""
+    rows = fields(lines(spark, path), "type", "prefix", at_least=2)
+    first = rows.groupBy("type", "prefix").agg(F.min("seq").alias("seq"))
+    return first.select("type", "prefix", (F.row_number().over(Window.partitionBy("type").orderBy("seq")) - 1).alias("rank"))  # a static table
+
+
+def type_tree(spark: SparkSession, path: str) -> DataFrame:
+    """``type``, ``parent`` (or mix-in): a model's tree, as ``nodes.ancestors`` takes it."""
+    return fields(lines(spark, path), "type", "parent", at_least=2).select("type", "parent").distinct()
+
+
 def scores(spark: SparkSession, path: str) -> DataFrame:
     return fields(lines(spark, path), "iri", "ic", at_least=2).withColumn("ic", F.col("ic").try_cast("double"))
 

@@ -33,6 +33,10 @@ def test_readers(spark, tmp_path):
         readers.manual_concord(spark, str(tmp_path / "m2.txt")).collect()
     (tmp_path / "c.txt").write_text('["A:1", "B:1"]\n')
     assert rows(readers.conflation(spark, str(tmp_path / "c.txt")), "clique", "pos", "curie") == [("A:1", 0, "A:1"), ("A:1", 1, "B:1")]
+    (tmp_path / "r.tsv").write_text("T\tB\nT\tA\nU\tA\nT\tB\n")
+    assert rows(readers.prefix_ranks(spark, str(tmp_path / "r.tsv")), "type", "prefix", "rank") == [("T", "A", 1), ("T", "B", 0), ("U", "A", 0)]
+    (tmp_path / "t.tsv").write_text("T\tU\nU\tV\nT\tU\n")
+    assert rows(readers.type_tree(spark, str(tmp_path / "t.tsv")), "type", "parent") == [("T", "U"), ("U", "V")]
     (tmp_path / "h.tsv").write_text("x\ty\n1\t2\n")
     assert readers.headed(spark, str(tmp_path / "h.tsv"), ["x", "y"]).count() == 1
     with pytest.raises(ValueError):
