@@ -161,13 +161,18 @@ def _words(c: str) -> str:
     return f"regexp_extract_all(regexp_replace(lower(strip_accents(regexp_replace({clean}, '[*_]', '', 'g'))), '[\\p{{Mn}}\\p{{Me}}\\p{{Cf}}]', '', 'g'), '[\\p{{L}}\\p{{N}}]+')"
 
 
-P8_FOUND = f"""WITH i0 AS (SELECT item_id, coalesce(starts_with(lower(trim(lang)), 'zh'), false) AS zh, {_words('item_text')} AS w FROM eval_items WHERE item_text IS NOT NULL),
+_GRAMS = f"""i0 AS (SELECT item_id, coalesce(starts_with(lower(trim(lang)), 'zh'), false) AS zh, {_words('item_text')} AS w FROM eval_items WHERE item_text IS NOT NULL),
 d0 AS (SELECT doc_id, {_words('text')} AS w FROM documents WHERE text IS NOT NULL),
 it AS (SELECT item_id, zh, CASE WHEN zh THEN string_split(array_to_string(w, ''), '') ELSE w END AS t FROM i0),
 dt AS (SELECT doc_id, false AS zh, w AS t FROM d0 UNION ALL SELECT doc_id, true, string_split(array_to_string(w, ''), '') FROM d0),
 span AS (SELECT * FROM (VALUES (false, {leak.WORDS.span}), (true, {leak.CHARS.span})) s(zh, n)),
 ig AS (SELECT DISTINCT item_id, zh, array_to_string(list_slice(t, k, k + n - 1), ' ') AS g FROM (SELECT item_id, zh, t, n, unnest(range(1, len(t) - n + 2)) AS k FROM it JOIN span USING (zh))),
-dg AS (SELECT DISTINCT doc_id, zh, array_to_string(list_slice(t, k, k + n - 1), ' ') AS g FROM (SELECT doc_id, zh, t, n, unnest(range(1, len(t) - n + 2)) AS k FROM dt JOIN span USING (zh)))
-SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (zh, g)"""
-
-SQL = {"p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p6_found": P6_FOUND, "p8_found": P8_FOUND}
+dg AS (SELECT DISTINCT doc_id, zh, array_to_string(list_slice(t, k, k + n - 1), ' ') AS g FROM (SELECT doc_id, zh, t, n, unnest(range(1, len(t) - n + 2)) AS k FROM dt JOIN span USING (zh))),
+leaks AS (SELECT DISTINCT zh, doc_id, item_id FROM dg JOIN ig USING (zh, g))"""
+P8_FOUND = f"WITH {_GRAMS} SELECT doc_id, item_id FROM leaks"
+P8_RUNS = f"""WITH {_GRAMS}, a AS (SELECT zh, doc_id, unnest(t) AS tok, unnest(range(len(t))) AS i FROM dt), b AS (SELECT zh, item_id, unnest(t) AS tok, unnest(range(len(t))) AS j FROM it),
+m AS (SELECT doc_id, item_id, i, i - j AS diagonal, i - row_number() OVER (PARTITION BY doc_id, item_id, i - j ORDER BY i) AS island FROM leaks JOIN a USING (zh, doc_id) JOIN b USING (zh, item_id, tok)),
+runs AS (SELECT doc_id, item_id, count(*) AS shared, min(i) AS at FROM m GROUP BY doc_id, item_id, diagonal, island)
+SELECT doc_id, item_id, max(shared)::INT AS shared, arg_max(at, (shared, -at))::INT AS at FROM runs GROUP BY doc_id, item_id"""
+
+SQL = {"p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p6_found": P6_FOUND, "p8_found": P8_FOUND, "p8_runs": P8_RUNS}
