@@ -56,8 +56,8 @@ _MARKS = re.compile("[*_]")
 
 @lru_cache(1)
 def _odd() -> frozenset[str]:
-    """Accents and invisible characters."""
-    return frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Mn", "Me", "Cf"))
+    """Accents, vowel signs and invisible characters: they part no word."""
+    return frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Mn", "Mc", "Me", "Cf"))
 
 
 def clean(text: str | None) -> str:

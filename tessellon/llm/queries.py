@@ -172,7 +172,7 @@ leaks AS (SELECT DISTINCT zh, doc_id, item_id FROM dg JOIN ig USING (zh, g))"""
 P8_FOUND = f"WITH {_GRAMS} SELECT doc_id, item_id FROM leaks"
 P8_RUNS = f"""WITH {_GRAMS}, a AS (SELECT zh, doc_id, unnest(t) AS tok, unnest(range(len(t))) AS i FROM dt), b AS (SELECT zh, item_id, unnest(t) AS tok, unnest(range(len(t))) AS j FROM it),
 m AS (SELECT doc_id, item_id, i, i - j AS diagonal, i - row_number() OVER (PARTITION BY doc_id, item_id, i - j ORDER BY i) AS island FROM leaks JOIN a USING (zh, doc_id) JOIN b USING (zh, item_id, tok)),
-runs AS (SELECT doc_id, item_id, count(*) AS shared, min(i) AS at FROM m GROUP BY doc_id, item_id, diagonal, island)
-SELECT doc_id, item_id, max(shared)::INT AS shared, arg_max(at, (shared, -at))::INT AS at FROM runs GROUP BY doc_id, item_id"""
+runs AS (SELECT doc_id, item_id, count(*) AS shared, min(i) AS start FROM m GROUP BY doc_id, item_id, diagonal, island)
+SELECT doc_id, item_id, max(shared)::INT AS shared, arg_max(start, (shared, -start))::INT AS "at" FROM runs GROUP BY doc_id, item_id"""
 
 SQL = {"p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p6_found": P6_FOUND, "p8_found": P8_FOUND, "p8_runs": P8_RUNS}

@@ -13,6 +13,8 @@ Statistics of sources are small: one row per source or pair of sources.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,10 @@ def pick(ok: Column, value: Column, *priority: Column) -> Column:
     return F.max_by(F.when(ok, value), F.when(ok, F.struct(*[p.alias(f"p{i}") for i, p in enumerate(priority)])))
 
 
+#: Sources that ``fuse`` takes; their statistics, and those of pairs, are gathered on the driver.
+MAX_SOURCES = 1000
+
+
 def fuse(
     claims: DataFrame, scratch: Scratch, rounds: int = 3, false_values: int = 10, copy_prior: float = 0.2, copy_rate: float = 0.8, start_accuracy: float = 0.8
 ) -> DataFrame:
@@ -36,68 +42,77 @@ def fuse(
     values an item is taken to have, ``copy_prior`` the prior chance that one source copies from another,
     ``copy_rate`` the share of values a copier copies.
 
-    Sources are few (tens): what pairs of sources share is counted item by item over the claims it has, one per source, so
-    the work grows with the square of an item's sources. Claims of one item meet as one claim per source, never as
-    pairs of records, however many records it has.
+    An item's claims are one row, one claim per source, however many records it has; it is shuffled once, and
+    each round reads it in place. Only statistics of sources and of pairs of sources leave the tasks: sources are few
+    (``MAX_SOURCES`` at most, more is an error).
     """
     n = float(false_values)
-    claims = claims.where("item IS NOT NULL AND source IS NOT NULL AND value IS NOT NULL").groupBy("item", "source", "value").agg(F.count("*").alias("n"))
-    claims = scratch.write(claims.groupBy("item", "source").agg(F.min_by("value", F.struct((-F.col("n")).alias("n"), "value")).alias("value")), "claims")
-    acc = claims.select("source").distinct().withColumn("accuracy", F.lit(start_accuracy))
-    acc = scratch.write(acc, "accuracy0")
-    truth, discount = None, None
+    each = claims.where("item IS NOT NULL AND source IS NOT NULL AND value IS NOT NULL").groupBy("item", "source", "value").agg(F.count("*").alias("n"))
+    held = each.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("source", (-F.col("n")).alias("n"), "value"))).alias("c"))
+    # of a source's values the first in this order
+    first = F.filter("c", lambda x, i: (i == 0) | (F.get("c", i - 1)["source"] != x["source"]))
+    items = scratch.write(held.select("item", F.transform(first, lambda x: F.struct(x["source"].alias("source"), x["value"].alias("value"))).alias("c")), "items")
+    sources = sorted(r[0] for r in items.select(F.explode("c.source")).distinct().limit(MAX_SOURCES + 1).collect())
+    if len(sources) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    accuracy, independent = {s: start_accuracy for s in sources}, {}
     for r in range(rounds):
-        truth = scratch.write(_vote(claims, acc, discount, n), f"truth{r}")
+        judged = _vote(items, accuracy, independent, n)
         if r + 1 == rounds:
             break
-        acc = claims.join(truth.select("item", "value", "posterior"), ["item", "value"]).groupBy("source").agg(F.avg("posterior").alias("accuracy"))
-        acc = scratch.write(acc.select("source", F.least(F.lit(0.99), F.greatest(F.lit(0.05), F.col("accuracy"))).alias("accuracy")), f"accuracy{r + 1}")
-        discount = scratch.write(_dependence(claims, truth, acc, n, copy_prior, copy_rate), f"discount{r + 1}")
-    best = truth.groupBy("item").agg(F.min_by(F.struct("value", "posterior", "votes"), F.struct((-F.col("posterior")).alias("p"), "value")).alias("t"))
-    return best.select("item", "t.value", "t.posterior", "t.votes")
-
-
-def _vote(claims: DataFrame, acc: DataFrame, discount: DataFrame | None, n: float) -> DataFrame:
-    """item, value, posterior, votes: log-odds votes of sources, weighted by their independence."""
-    rows = claims.join(acc, "source")
-    rows = rows.withColumn("score", F.log(n * F.col("accuracy") / (1 - F.col("accuracy"))))
-    if discount is not None:
-        # weight of a source's vote: the chance that it copied none of the more accurate sources that claim the same
-        claimed = rows.groupBy("item", "value").agg(F.collect_set("source").alias("sources"))  # as many as there are sources
-        lists = discount.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("leader", "independent"))).alias("from"))
-        rows = rows.join(claimed, ["item", "value"]).join(lists, "source", "left")
-        weight = F.aggregate(F.col("sources"), F.lit(1.0), lambda a, s: a * F.coalesce(F.element_at("from", s), F.lit(1.0)))
-        rows = rows.withColumn("score", F.col("score") * F.coalesce(weight, F.lit(1.0)))
-    votes = rows.groupBy("item", "value").agg(F.sum("score").alias("score"), F.count("*").alias("votes"))
-    # the sum over values is taken relative to the item's greatest score
-    top = votes.groupBy("item").agg(F.max("score").alias("top"))
-    scaled = votes.join(top, "item").withColumn("e", F.exp(F.col("score") - F.col("top")))
-    total = scaled.groupBy("item").agg(F.sum("e").alias("all"))
-    return scaled.join(total, "item").select("item", "value", (F.col("e") / F.col("all")).alias("posterior"), "votes")
-
-
-def _dependence(claims: DataFrame, truth: DataFrame, acc: DataFrame, n: float, prior: float, rate: float) -> DataFrame:
-    """source, leader, independent: the chance that ``source`` did not copy a value from ``leader``.
+        judged = scratch.write(judged, f"judged{r}")
+        means = judged.select(F.explode("j").alias("x")).groupBy("x.source").agg(F.avg("x.posterior").alias("a")).collect()
+        accuracy = {m["source"]: min(0.99, max(0.05, m["a"])) for m in means}
+        independent = _independence(judged, accuracy, n, copy_prior, copy_rate)
+    best = F.array_min(F.transform("v", lambda x: F.struct((-x["posterior"]).alias("p"), x["value"].alias("value"), x["votes"].alias("votes"))))
+    return judged.select("item", best.alias("b")).select("item", "b.value", (-F.col("b.p")).alias("posterior"), "b.votes")
+
+
+def _numbers(of: dict[str, float]) -> Column:
+    """A constant map; empty where there is nothing."""
+    return F.create_map(*[F.lit(x) for kv in of.items() for x in kv]) if of else F.create_map().cast("map<string,double>")
+
+
+def _pair(a: Column, b: Column) -> Column:
+    return F.concat(a, F.lit("\x00"), b)
+
+
+def _vote(items: DataFrame, accuracy: dict[str, float], independent: dict[tuple[str, str], float], n: float) -> DataFrame:
+    """item, c, v (value, posterior, votes of each value), j (source, value, posterior of each claim): log-odds votes of sources,
+    each weighted by the chance that it copied none of the more accurate sources that claim the same."""
+    score = _numbers({s: math.log(n * a / (1 - a)) for s, a in accuracy.items()})
+    free = _numbers({f"{s}\x00{lead}": x for (s, lead), x in independent.items()})
+    alike = lambda x: F.filter("c", lambda y: (y["value"] == x["value"]) & (y["source"] != x["source"]))
+    weight = lambda x: F.aggregate(alike(x), F.lit(1.0), lambda a, y: a * F.coalesce(F.element_at(free, _pair(x["source"], y["source"])), F.lit(1.0)))
+    rows = items.select("item", "c", F.transform("c", lambda x: F.struct(x["value"].alias("value"), (F.element_at(score, x["source"]) * weight(x)).alias("s"))).alias("w"))
+    votes = lambda v: F.filter("w", lambda y: y["value"] == v)
+    total = lambda v: F.aggregate(votes(v), F.lit(0.0), lambda a, y: a + y["s"])
+    rows = rows.select("item", "c", F.transform(F.array_distinct("w.value"), lambda v: F.struct(v.alias("value"), total(v).alias("s"), F.size(votes(v)).cast("bigint").alias("votes"))).alias("v"))
+    # relative to the item's greatest score
+    rows = rows.select("item", "c", "v", F.array_max("v.s").alias("top"))
+    rows = rows.select("item", "c", "v", "top", F.aggregate("v", F.lit(0.0), lambda a, y: a + F.exp(y["s"] - F.col("top"))).alias("all"))
+    rows = rows.select("item", "c", F.transform("v", lambda x: F.struct(x["value"].alias("value"), (F.exp(x["s"] - F.col("top")) / F.col("all")).alias("posterior"), x["votes"].alias("votes"))).alias("v"))
+    own = lambda x: F.get(F.filter("v", lambda y: y["value"] == x["value"]), F.lit(0))["posterior"]
+    return rows.select("item", "c", "v", F.transform("c", lambda x: F.struct(x["source"].alias("source"), x["value"].alias("value"), own(x).alias("posterior"))).alias("j"))
+
+
+def _independence(judged: DataFrame, accuracy: dict[str, float], n: float, prior: float, rate: float) -> dict[tuple[str, str], float]:
+    """(source, more accurate source): the chance that the first did not copy a value from the second.
 
     For each pair of sources: how many values both hold are true, how many false (by their posterior), and
     on how many items they differ. Sharing false values is what speaks for copying.
     """
-    # each source claims one value of an item: as many (source, value) per item as there are sources
-    likely = claims.join(truth.select("item", "value", "posterior"), ["item", "value"])
-    held = likely.groupBy("item").agg(F.collect_set(F.struct("source", "value", "posterior")).alias("held"))
-    pairs = F.flatten(
-        F.transform("held", lambda x: F.transform(F.filter("held", lambda y: y["source"] > x["source"]), lambda y: F.struct(x["source"].alias("s1"), y["source"].alias("s2"), F.when(x["value"] == y["value"], x["posterior"]).alias("p"))))
-    )
-    same, p = F.col("p.p").isNotNull(), F.col("p.p")
-    counts = held.select(F.explode(pairs).alias("p")).groupBy("p.s1", "p.s2").agg(
-        F.sum(F.when(same, p).otherwise(0.0)).alias("both_true"), F.sum(F.when(same, 1 - p).otherwise(0.0)).alias("both_false"), F.sum(F.when(same, 0).otherwise(1)).alias("differ")
-    )
-    a1, a2 = acc.select(F.col("source").alias("s1"), F.col("accuracy").alias("a1")), acc.select(F.col("source").alias("s2"), F.col("accuracy").alias("a2"))
-    c = counts.join(a1, "s1").join(a2, "s2")
-    t, f = F.col("a1") * F.col("a2"), (1 - F.col("a1")) * (1 - F.col("a2")) / n
-    d = F.greatest(F.lit(1e-6), 1 - t - f)
-    copied_t, copied_f, copied_d = rate * F.col("a1") + (1 - rate) * t, rate * (1 - F.col("a1")) + (1 - rate) * f, (1 - rate) * d
-    log_ratio = F.col("both_true") * F.log(copied_t / t) + F.col("both_false") * F.log(copied_f / f) + F.col("differ") * F.log(copied_d / d)
-    dependent = 1 / (1 + (1 - prior) / prior * F.exp(-F.greatest(F.lit(-60.0), F.least(F.lit(60.0), log_ratio))))
-    first = (F.col("a1") > F.col("a2")) | ((F.col("a1") == F.col("a2")) & (F.col("s1") < F.col("s2")))
-    return c.select(F.when(first, F.col("s2")).otherwise(F.col("s1")).alias("source"), F.when(first, F.col("s1")).otherwise(F.col("s2")).alias("leader"), (1 - rate * dependent).alias("independent"))
+    later = lambda x: F.filter("j", lambda y: y["source"] > x["source"])
+    met = F.flatten(F.transform("j", lambda x: F.transform(later(x), lambda y: F.struct(x["source"].alias("s1"), y["source"].alias("s2"), F.when(x["value"] == y["value"], x["posterior"]).alias("p")))))
+    p = F.col("x.p")
+    counts = judged.select(F.explode(met).alias("x")).groupBy("x.s1", "x.s2").agg(F.sum(F.coalesce(p, F.lit(0.0))).alias("true"), F.sum(F.coalesce(1 - p, F.lit(0.0))).alias("false"), F.sum(F.when(p.isNull(), 1).otherwise(0)).alias("differ"))
+    out = {}
+    for r in counts.collect():  # a row per pair of sources
+        a1, a2 = accuracy[r["s1"]], accuracy[r["s2"]]
+        t, f = a1 * a2, (1 - a1) * (1 - a2) / n
+        d = max(1e-6, 1 - t - f)
+        ratio = r["true"] * math.log((rate * a1 + (1 - rate) * t) / t) + r["false"] * math.log((rate * (1 - a1) + (1 - rate) * f) / f) + r["differ"] * math.log((1 - rate) * d / d)
+        dependent = 1 / (1 + (1 - prior) / prior * math.exp(-max(-60.0, min(60.0, ratio))))
+        first = a1 > a2 or (a1 == a2 and r["s1"] < r["s2"])
+        out[(r["s2"], r["s1"]) if first else (r["s1"], r["s2"])] = 1 - rate * dependent
+    return out
