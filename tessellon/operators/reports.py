@@ -21,9 +21,10 @@ def _joined(c, distinct: bool = True):
 
 
 def identically_labelled(cliques: DataFrame, left_out: tuple[str, ...] = (), name: str = "preferred_name") -> DataFrame:
-    """Names (lower case) of more than one clique: name_lc, clique_count, leaders (distinct). Blank names are none."""
+    """Names (lower case) of more than one clique: name_lc, clique_count, leaders (distinct), filenames and biolink_types (distinct,
+    sorted, joined by ``||``: as many as there are files and types). Blank names are none."""
     rows = cliques.where(F.col(name).isNotNull() & (F.trim(name) != "") & ~F.coalesce(F.col("filename").isin(*left_out), F.lit(False)))
-    g = rows.groupBy(F.lower(name).alias("name_lc")).agg(F.count("*").alias("clique_count"), F.count_distinct("clique_leader").alias("leaders"))
+    g = rows.groupBy(F.lower(name).alias("name_lc")).agg(F.count("*").alias("clique_count"), F.count_distinct("clique_leader").alias("leaders"), _joined("filename").alias("filenames"), _joined("biolink_type").alias("biolink_types"))
     return g.where("clique_count > 1")
 
 
@@ -39,16 +40,15 @@ def duplicate_curies(edges: DataFrame) -> DataFrame:
     return edges.where("curie IS NOT NULL AND clique_leader IS NOT NULL").groupBy("curie").agg(F.count_distinct("clique_leader").alias("leaders"), F.count("*").alias("n"), F.min("clique_leader").alias("first_leader"), F.max("clique_leader").alias("last_leader")).where("leaders > 1")
 
 
-def duplicate_curie_lists(edges: DataFrame, cliques: DataFrame, conflation: str | None = None) -> DataFrame:
-    """curie, clique_leaders, filenames, biolink_types, names: what holds each identifier of more than one clique, distinct, sorted
-    and joined by ``||``; ``conflation`` keeps the edges of one conflation. Leaders without a clique row have no type or name."""
+def duplicate_curie_rows(edges: DataFrame, cliques: DataFrame, conflation: str | None = None) -> DataFrame:
+    """curie, clique_leader, filename, biolink_type, preferred_name: what holds each identifier of more than one clique, a row each, as
+    any number of cliques may hold one; ``conflation`` keeps the edges of one conflation. Leaders without a clique row have no type or name."""
     e = edges.where("curie IS NOT NULL AND clique_leader IS NOT NULL")
     e = e.where(F.col("conflation") == conflation) if conflation is not None else e
     some = e.groupBy("curie").agg(F.count_distinct("clique_leader").alias("n")).where("n > 1").select("curie")
     held = e.select("curie", "clique_leader", "filename").distinct().join(some, "curie", "left_semi")
     facts = cliques.select("clique_leader", "biolink_type", "preferred_name").distinct()
-    rows = held.join(facts, "clique_leader", "left")
-    return rows.groupBy("curie").agg(_joined("clique_leader").alias("clique_leaders"), _joined("filename").alias("filenames"), _joined("biolink_type").alias("biolink_types"), _joined("preferred_name").alias("names"))
+    return held.join(facts, "clique_leader", "left").select("curie", "clique_leader", "filename", "biolink_type", "preferred_name")
 
 
 def duplicate_leaders(cliques: DataFrame, strict: bool = False) -> DataFrame:

@@ -593,7 +593,8 @@ def op70_leftover_concepts(spark, d):
 
 
 # --- reports ---------------------------------------------------------------------------------------
-@query("""SELECT lower(preferred_name) AS name_lc, count(*) AS clique_count, count(DISTINCT clique_leader) AS leaders FROM clique
+@query("""SELECT lower(preferred_name) AS name_lc, count(*) AS clique_count, count(DISTINCT clique_leader) AS leaders,
+coalesce(array_to_string(list_sort(list(DISTINCT filename) FILTER (filename IS NOT NULL)), '||'), '') AS filenames, coalesce(array_to_string(list_sort(list(DISTINCT biolink_type) FILTER (biolink_type IS NOT NULL)), '||'), '') AS biolink_types FROM clique
 WHERE preferred_name IS NOT NULL AND trim(preferred_name) <> '' AND coalesce(filename NOT IN ('Publication', 'Food'), true) GROUP BY 1 HAVING count(*) > 1""")
 def op80_identical_labels(spark, d):
     return reports.identically_labelled(table(spark, d, "clique"), ("Publication", "Food"))
@@ -617,10 +618,9 @@ _FILES = "array_to_string(list_sort(list(DISTINCT filename)), '||') AS filenames
 @query("""WITH s AS (SELECT curie FROM edge WHERE curie IS NOT NULL AND clique_leader IS NOT NULL AND conflation = 'None' GROUP BY curie HAVING count(DISTINCT clique_leader) > 1),
 h AS (SELECT DISTINCT curie, clique_leader, filename FROM edge WHERE clique_leader IS NOT NULL AND conflation = 'None' AND curie IN (SELECT curie FROM s)),
 r AS (SELECT h.*, biolink_type, preferred_name FROM h LEFT JOIN (SELECT DISTINCT clique_leader, biolink_type, preferred_name FROM clique) c USING (clique_leader))
-SELECT curie, array_to_string(list_sort(list(DISTINCT clique_leader)), '||') AS clique_leaders, array_to_string(list_sort(list(DISTINCT filename)), '||') AS filenames,
-  coalesce(array_to_string(list_sort(list(DISTINCT biolink_type) FILTER (biolink_type IS NOT NULL)), '||'), '') AS biolink_types, coalesce(array_to_string(list_sort(list(DISTINCT preferred_name) FILTER (preferred_name IS NOT NULL)), '||'), '') AS names FROM r GROUP BY curie""")
-def op81_duplicate_curie_lists(spark, d):
-    return reports.duplicate_curie_lists(table(spark, d, "edge"), table(spark, d, "clique"), "None")
+SELECT curie, clique_leader, filename, biolink_type, preferred_name FROM r""")
+def op81_duplicate_curie_rows(spark, d):
+    return reports.duplicate_curie_rows(table(spark, d, "edge"), table(spark, d, "clique"), "None")
 
 
 @query(f"SELECT clique_leader, count(*) AS n, {_FILES} FROM clique WHERE clique_leader IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
