@@ -150,6 +150,38 @@ SELECT g.leader AS clique_leader, names.row_id AS name_row, ics.row_id AS ic_row
 FROM (SELECT leader FROM c WHERE leader IS NOT NULL GROUP BY leader HAVING count(*) >= 2) g
 LEFT JOIN names ON names.leader = g.leader LEFT JOIN ics ON ics.leader = g.leader LEFT JOIN best ON best.leader = g.leader"""
 
+_LINES = f"""{_IDENTS},
+i AS (SELECT line_id, pos, {plain("coalesce(json_extract_string(o, '$.i'), json_extract_string(o, '$.identifier'), CASE WHEN json_type(o) <> 'OBJECT' THEN json_extract_string(o, '$') END)")} AS curie FROM idents WHERE json_type(o) <> 'NULL'),
+sets AS (SELECT line_id, arg_min(curie, pos) AS leader, array_to_string(list_sort(list(DISTINCT curie) FILTER (curie IS NOT NULL)), '|') AS identifiers FROM i GROUP BY line_id),
+facts AS (SELECT line_id, leader, identifiers, coalesce(json_extract_string(j, '$.preferred_name'), json_extract_string(j, '$.id.label')) AS preferred_name, TRY_CAST(json_extract_string(j, '$.ic') AS DOUBLE) AS ic, 'compendium ' || coalesce(release_tag, '') AS source
+  FROM sets JOIN lines USING (line_id) JOIN (SELECT line_id, release_tag FROM compendium_jsonl) USING (line_id))"""
+_RANGE = "CASE WHEN {0} >= 0 AND {0} <= 100 AND NOT isnan({0}) THEN round({0}, 4)::VARCHAR END"
+_CLAIMS = f"""{_LINES}, cl AS (SELECT {plain('clique_leader')} AS leader, coalesce(provider, '') AS source, preferred_name, information_content::DOUBLE AS ic FROM clique),
+claims AS (SELECT 'preferred_name' AS f, leader AS item, source, CASE WHEN {_PRESENT} THEN {_T} END AS value FROM cl UNION ALL SELECT 'information_content', leader, source, {_RANGE.format('ic')} FROM cl
+  UNION ALL SELECT 'preferred_name', leader, source, CASE WHEN {_PRESENT} THEN {_T} END FROM facts UNION ALL SELECT 'information_content', leader, source, {_RANGE.format('ic')} FROM facts UNION ALL SELECT 'identifiers', leader, source, identifiers FROM facts),
+counted AS (SELECT f, item, f || '/' || source AS source, value, count(*) AS n FROM claims WHERE item IS NOT NULL AND value IS NOT NULL GROUP BY ALL),
+c AS (SELECT f, item, source, value FROM (SELECT *, row_number() OVER (PARTITION BY f, item, source ORDER BY n DESC, value) AS rn FROM counted) WHERE rn = 1),
+acc0 AS (SELECT DISTINCT source, 0.8::DOUBLE AS a FROM c), ind0 AS (SELECT '' AS source, '' AS leader, 1.0::DOUBLE AS x WHERE false)"""
+
+
+def _round_sql(r: int) -> str:
+    """One round of fusion: votes, and but for the last round the accuracies and independences that follow."""
+    vote = f"""w{r} AS (SELECT c.f, c.item, c.source, c.value, any_value(ln(10 * a / (1 - a))) * product(coalesce(x, 1)) AS s FROM c JOIN acc{r} USING (source)
+  LEFT JOIN c d ON d.f = c.f AND d.item = c.item AND d.value = c.value AND d.source <> c.source LEFT JOIN ind{r} i ON i.source = c.source AND i.leader = d.source GROUP BY c.f, c.item, c.source, c.value),
+v{r} AS (SELECT f, item, value, sum(s) AS s, count(*) AS votes FROM w{r} GROUP BY f, item, value), e{r} AS (SELECT *, exp(s - max(s) OVER (PARTITION BY f, item)) AS e FROM v{r}),
+p{r} AS (SELECT f, item, value, votes, e / sum(e) OVER (PARTITION BY f, item) AS p FROM e{r})"""
+    learn = f"""j{r} AS (SELECT c.*, p FROM c JOIN p{r} USING (f, item, value)), acc{r + 1} AS (SELECT source, least(0.99, greatest(0.05, avg(p))) AS a FROM j{r} GROUP BY source),
+m{r} AS (SELECT x.source AS s1, y.source AS s2, sum(CASE WHEN x.value = y.value THEN x.p ELSE 0 END) AS t, sum(CASE WHEN x.value = y.value THEN 1 - x.p ELSE 0 END) AS f, sum(CASE WHEN x.value = y.value THEN 0 ELSE 1 END) AS d
+  FROM j{r} x JOIN j{r} y ON x.f = y.f AND x.item = y.item AND y.source > x.source GROUP BY ALL),
+k{r} AS (SELECT m.*, a.a AS a1, b.a AS a2, a.a * b.a AS pt, (1 - a.a) * (1 - b.a) / 10 AS pf FROM m{r} m JOIN acc{r + 1} a ON a.source = s1 JOIN acc{r + 1} b ON b.source = s2),
+l{r} AS (SELECT *, greatest(-60, least(60, t * ln((0.8 * a1 + 0.2 * pt) / pt) + f * ln((0.8 * (1 - a1) + 0.2 * pf) / pf) + d * ln(0.2::DOUBLE))) AS ratio, a1 > a2 OR (a1 = a2 AND s1 < s2) AS first FROM k{r}),
+ind{r + 1} AS (SELECT CASE WHEN first THEN s2 ELSE s1 END AS source, CASE WHEN first THEN s1 ELSE s2 END AS leader, 1 - 0.8 / (1 + 4 * exp(-ratio)) AS x FROM l{r})"""
+    return vote if r == 2 else f"{vote},\n{learn}"
+
+
+P6_FUSED = f"""WITH {_CLAIMS}, {_round_sql(0)}, {_round_sql(1)}, {_round_sql(2)}
+SELECT item AS clique_leader, f AS field_name, value, round(p, 6) AS posterior, votes FROM (SELECT *, row_number() OVER (PARTITION BY f, item ORDER BY p DESC, value) AS rn FROM p2) WHERE rn = 1"""
+
 P1_FOUND = _COMP + " SELECT curie, clique AS group_id FROM comp"
 P1_SIZES = _COMP + " SELECT members, count(*) AS groups FROM (SELECT clique, count(*) AS members FROM comp GROUP BY clique) GROUP BY members"
 
@@ -175,4 +207,4 @@ m AS (SELECT doc_id, item_id, i, i - j AS diagonal, i - row_number() OVER (PARTI
 runs AS (SELECT doc_id, item_id, count(*) AS shared, min(i) AS start FROM m GROUP BY doc_id, item_id, diagonal, island)
 SELECT doc_id, item_id, max(shared)::INT AS shared, arg_max(start, (shared, -start))::INT AS "at" FROM runs GROUP BY doc_id, item_id"""
 
-SQL = {"p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p6_found": P6_FOUND, "p8_found": P8_FOUND, "p8_runs": P8_RUNS}
+SQL = {"p1_found": P1_FOUND, "p1_sizes": P1_SIZES, "p6_found": P6_FOUND, "p6_fused": P6_FUSED, "p8_found": P8_FOUND, "p8_runs": P8_RUNS}

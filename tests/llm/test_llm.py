@@ -169,6 +169,22 @@ def test_leaks_with_one_token_replaced(spark, scratch, unit):
     assert rows(got, "doc_id", "item_id", "at", "shared") == sorted(((d, d, at, n) for d, _, at, n in docs), key=repr)
 
 
+def test_leaks_of_repeated_keys_and_nulls(spark, scratch):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, "nothing here", "x"), (1, f"a b {item}", "x"), (1, item, "y"), (None, item, "x"), (2, None, None), (3, item, None), (3, item, None), (4, "", None)]
+    a = spark.createDataFrame(docs, "doc_id long, text string, item string")
+    b = spark.createDataFrame([(7, item, 0), (None, item, 0), (8, None, 0), (9, item, 1)], "item_id int, item_text string, hits int")
+    got = leak.leaks(a, "doc_id", "text", b, "item_id", "item_text", scratch)
+    assert rows(got, "doc_id", "item_id", "shared", "at") == [(d, i, 30, 0) for d in (1, 3) for i in (7, 9)]
+    assert leak.leaks(a, "doc_id", "text", b.limit(0), "item_id", "item_text", scratch).count() == 0
+
+
+def test_too_many_sources(spark, scratch):
+    many = spark.range(survivor.MAX_SOURCES + 1).selectExpr("id % 7 AS item", "string(id) AS source", "'v' AS value")
+    with pytest.raises(ValueError):
+        survivor.fuse(many, scratch)
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 def test_quotas():
     q = mix.quotas({"a": 1000, "b": 50}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 4}, 1000)
